@@ -44,11 +44,16 @@ def _open_from(start: Column) -> dict[str, Column]:
 
 
 def initial_versions(
-    incoming: DataFrame, tracked: Sequence[str], natural_key: str, key: str, algorithm: str = "xxhash64"
+    incoming: DataFrame,
+    tracked: Sequence[str],
+    natural_key: str,
+    key: str,
+    algorithm: str = "xxhash64",
+    one_each: bool = False,
 ) -> DataFrame:
     """First load: one current version per entity, valid since 1900."""
-    one_each = latest_per_key(incoming, [natural_key])
-    keyed = with_surrogate_key(one_each, tracked, natural_key, key, algorithm)
+    batch = incoming if one_each else latest_per_key(incoming, [natural_key])
+    keyed = with_surrogate_key(batch, tracked, natural_key, key, algorithm)
     return keyed.withColumns(_open_from(instant(EPOCH)))
 
 
@@ -61,10 +66,12 @@ def version_delta(
     as_of: datetime,
     reopen_reverted: bool = False,
     algorithm: str = "xxhash64",
+    one_each: bool = False,
 ) -> DataFrame:
     """Rows to upsert into the dimension on (natural key, key): opened and expired versions.
 
-    Of several rows of an entity in one batch the latest counts. A row whose key is
+    Of several rows of an entity in one batch the latest counts; pass ``one_each`` if
+    there is only one, to save the exchange that finds it. A row whose key is
     already stored changes nothing, so replaying a batch gives an empty delta; that
     also holds for an entity that goes back to an earlier state. With
     ``reopen_reverted`` changes are found against the current version instead, and the
@@ -72,10 +79,10 @@ def version_delta(
     Entities missing from the batch are left alone.
     """
     if existing is None:
-        return initial_versions(incoming, tracked, natural_key, key, algorithm)
+        return initial_versions(incoming, tracked, natural_key, key, algorithm, one_each)
     start = instant(as_of)
-    one_each = latest_per_key(incoming, [natural_key])
-    keyed = with_surrogate_key(one_each, tracked, natural_key, key, algorithm)
+    batch = incoming if one_each else latest_per_key(incoming, [natural_key])
+    keyed = with_surrogate_key(batch, tracked, natural_key, key, algorithm)
     keyed = keyed.withColumns(_open_from(start))
     layout = existing.limit(0).unionByName(keyed.limit(0), allowMissingColumns=True).schema
 

@@ -39,7 +39,7 @@ def _dimension(
     if master is not None and f"source_{master_key}" in dim.columns:
         dim = enrich(dim, master, f"source_{master_key}", f"corp_{master_key}", limits)
     dim = with_global_ids(dim, natural_key)
-    return version_delta(dim, existing, tracked, natural_key, key, as_of, **options)
+    return version_delta(dim, existing, tracked, natural_key, key, as_of, one_each=True, **options)
 
 
 def prod_dim_delta(

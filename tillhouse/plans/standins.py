@@ -223,7 +223,12 @@ def history(spark, sf_dir, batch, scd: dict, runs: int = 3, reopen: bool = False
     dim = None
     for start, end, run_at in periods[:runs]:
         delta = version_delta(
-            batch(spark, sf_dir, start, end), dim, as_of=run_at, reopen_reverted=reopen, **scd
+            batch(spark, sf_dir, start, end),
+            dim,
+            as_of=run_at,
+            reopen_reverted=reopen,
+            one_each=True,
+            **scd,
         )
         dim = written(delta if dim is None else upserted(dim, delta, keys))
     return dim
