@@ -1,0 +1,19 @@
+from __future__ import annotations
+
+import sys
+from pathlib import Path
+
+import pytest
+
+ROOT = Path(__file__).resolve().parent.parent
+sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    from tillhouse.session import local_session
+
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session("4", **{"spark.sql.shuffle.partitions": "4", "spark.checkpoint.dir": shared})
+    yield session
+    session.stop()

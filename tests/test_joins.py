@@ -1,0 +1,193 @@
+"""Joins: broadcast and shuffled paths give the same rows, hot and null keys included."""
+
+from __future__ import annotations
+
+import random
+from datetime import date, datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillhouse.operators.joins import (
+    JoinLimits,
+    hot_keys,
+    lookup_join,
+    measured_bytes,
+    orphans,
+    point_in_time_join,
+    version_stats,
+    with_current,
+    with_history,
+)
+
+SMALL = JoinLimits()
+SHUFFLED = JoinLimits(broadcast_bytes=-1, hot_share=0.01, hot_rows=5)
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+@pytest.fixture(scope="module")
+def sales(spark):
+    # key 1 holds a third of all rows, null another third
+    keys = [1] * 100 + [None] * 100 + [k % 40 for k in range(100)]
+    return spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k int, n int")
+
+
+@pytest.fixture(scope="module")
+def lookup(spark):
+    return spark.createDataFrame([(k, f"v{k}") for k in range(0, 40, 2)] + [(1, "v1")], "k int, v string")
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_salted_join_equals_broadcast_join(sales, lookup, how):
+    expected = rows(lookup_join(sales, lookup, ["k"], how, SMALL))
+    assert rows(lookup_join(sales, lookup, ["k"], how, SHUFFLED)) == expected
+
+
+def test_hot_keys_are_spread_and_bounded(sales):
+    hot = {r["_k"]: r["_spread"] for r in hot_keys(sales, ["k"], SHUFFLED).collect()}
+    assert hot[1] >= 20
+    assert hot[None] >= 20
+    assert len(hot) <= 1 / SHUFFLED.hot_share
+    salts = lookup_join(sales, sales.select("k").distinct(), ["k"], "left", SHUFFLED)
+    assert salts.count() == sales.count()
+
+
+def test_salting_puts_one_key_into_many_tasks(sales, lookup):
+    from tillhouse.operators.joins import salted
+
+    left, right = salted(sales, lookup, ["k"], SHUFFLED)
+    assert left.filter("k = 1").select("_salt").distinct().count() > 10
+    assert left.filter("k is null").select("_salt").distinct().count() > 10
+    assert right.filter("k = 1").count() >= 20
+
+
+def test_large_side_is_not_broadcast(spark, sales, lookup):
+    plan = lookup_join(sales, lookup, ["k"], "left", SHUFFLED)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan
+    small = lookup_join(sales, lookup, ["k"], "left", SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in small
+
+
+def test_measured_bytes_counts_text(spark):
+    df = spark.createDataFrame([("x" * 1000,)], "s string")
+    assert measured_bytes(df) >= 1000
+    assert measured_bytes(df.limit(0)) == 0
+
+
+VERSIONS = "prod_id string, prod_key long, valid_from timestamp, valid_to timestamp"
+FACTS = "prod_id string, time_period_end_date date, n int"
+OLD = datetime(1900, 1, 1)
+
+
+@pytest.fixture(scope="module")
+def versions(spark):
+    change, noon = datetime(2024, 1, 10), datetime(2024, 1, 20, 12)
+    return spark.createDataFrame(
+        [
+            ("a", 1, OLD, change),
+            ("a", 2, change, noon),
+            ("a", 3, noon, None),
+            ("b", 4, datetime(2024, 1, 5), None),
+        ],
+        VERSIONS,
+    )
+
+
+@pytest.mark.parametrize("limits", [SMALL, SHUFFLED], ids=["broadcast", "shuffled"])
+@pytest.mark.parametrize(
+    ("prod_id", "day", "key"),
+    [
+        ("a", date(2024, 1, 9), 1),
+        ("a", date(2024, 1, 10), 2),  # the day of the change belongs to the new version
+        ("a", date(2024, 1, 20), 2),  # changed at noon: midnight still sees the old one
+        ("a", date(2024, 1, 21), 3),
+        ("b", date(2024, 1, 5), 4),
+        ("b", date(2024, 1, 4), None),
+        ("c", date(2024, 1, 4), None),
+        (None, date(2024, 1, 4), None),
+    ],
+)
+def test_point_in_time_edges(spark, versions, limits, prod_id, day, key):
+    facts = spark.createDataFrame([(prod_id, day, 1)], FACTS)
+    found = point_in_time_join(facts, versions, "prod_id", "prod_key", strict=False, limits=limits)
+    assert [r["prod_key"] for r in found.collect()] == [key]
+
+
+@pytest.mark.parametrize("limits", [SMALL, SHUFFLED], ids=["broadcast", "shuffled"])
+def test_orphans_fail_the_job_and_can_be_listed(spark, versions, limits):
+    facts = spark.createDataFrame([("a", date(2024, 1, 9), 1), ("zz", date(2024, 1, 9), 2)], FACTS)
+    with pytest.raises(Exception, match="no prod_key for prod_id zz"):
+        point_in_time_join(facts, versions, "prod_id", "prod_key", limits=limits).collect()
+    assert rows(orphans(facts, versions, "prod_id", "prod_key", limits=limits)) == [("zz", date(2024, 1, 9), 2)]
+
+
+def test_a_loss_offset_by_a_fan_out_is_noticed(spark, versions):
+    double = versions.unionByName(spark.createDataFrame([("b", 5, datetime(2024, 1, 7), None)], VERSIONS))
+    facts = spark.createDataFrame([("b", date(2024, 1, 9), 1), ("c", date(2024, 1, 9), 2)], FACTS)
+    with pytest.raises(ValueError, match="overlap"):
+        point_in_time_join(facts, double, "prod_id", "prod_key")
+
+
+def test_version_stats(versions):
+    stats = version_stats(versions, "prod_id")
+    assert (stats.most_per_key, stats.overlaps) == (3, 0)
+
+
+def _random_case(spark, seed):
+    rnd = random.Random(seed)
+    versions, key = [], 0
+    for entity in ["hot", *[f"e{i}" for i in range(8)]]:
+        at = datetime(2024, 1, 1) + timedelta(hours=rnd.randrange(200))
+        for _ in range(rnd.randrange(1, 90 if entity == "hot" else 6)):
+            key += 1
+            end = at + timedelta(hours=rnd.randrange(1, 80))
+            versions.append((entity, key, at, end))
+            at = end + timedelta(hours=rnd.choice([0, 0, 30]))
+        entity_open = rnd.random() < 0.5
+        if entity_open:
+            versions[-1] = (*versions[-1][:3], None)
+    facts = [
+        (rnd.choice(["hot"] * 5 + [f"e{i}" for i in range(10)] + [None]), date(2024, 1, 1) + timedelta(days=rnd.randrange(400)), i)
+        for i in range(400)
+    ]
+    expected = []
+    for entity, day, n in facts:
+        midnight = datetime(day.year, day.month, day.day)
+        match = [k for e, k, a, b in versions if e == entity and a <= midnight and (b is None or midnight < b)]
+        assert len(match) <= 1
+        expected.append((entity, day, n, match[0] if match else None))
+    return spark.createDataFrame(facts, FACTS), spark.createDataFrame(versions, VERSIONS), sorted(expected, key=str)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_both_lookups_equal_brute_force(spark, seed):
+    facts, versions, expected = _random_case(spark, seed)
+    many = JoinLimits(versions_per_key=10**6)
+    for limits in (many, SHUFFLED, SMALL):
+        found = point_in_time_join(facts, versions, "prod_id", "prod_key", strict=False, limits=limits)
+        assert rows(found) == expected
+
+
+def test_history_and_current_joins(spark):
+    dim = spark.createDataFrame(
+        [("a", 1, False, "old"), ("a", 2, True, "new")], "prod_id string, prod_key long, is_current boolean, name string"
+    )
+    facts = spark.createDataFrame([("a", 1, 5), ("a", 2, 6)], "prod_id string, prod_key long, n int")
+    assert {(r["n"], r["name"]) for r in with_history(facts, dim, "prod_key").collect()} == {(5, "old"), (6, "new")}
+    names = with_current(facts, dim.drop("prod_key"), "prod_id")
+    assert {(r["n"], r["name"]) for r in names.collect()} == {(5, "new"), (6, "new")}
+
+
+def test_enrichment_never_matches_null(spark):
+    from tillhouse.operators.joins import enrich
+
+    dim = spark.createDataFrame([("a", 1), ("b", None)], "prod_id string, source_item_gtin long")
+    master = spark.createDataFrame([(1, "x"), (None, "y")], "corp_item_gtin long, corp_prod_name string")
+    for limits in (SMALL, SHUFFLED):
+        out = enrich(dim, master, "source_item_gtin", "corp_item_gtin", limits)
+        assert "corp_item_gtin" not in out.columns
+        assert {(r["prod_id"], r["corp_prod_name"]) for r in out.collect()} == {("a", "x"), ("b", None)}
+    assert out.select(F.count("*")).first()[0] == 2

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,6 +19,21 @@ def period_end(date: Column, period: str) -> Column:
     raise ValueError(f"unknown period {period!r}, use one of {list(GRANULARITY)}")
 
 
+def period_start(day: date, period: str) -> date:
+    """First day of the period holding ``day``."""
+    if period == "1w":
+        return day - timedelta(days=day.weekday())
+    if period == "1mo":
+        return day.replace(day=1)
+    raise ValueError(f"unknown period {period!r}, use one of {list(GRANULARITY)}")
+
+
+def period_end_date(day: date, period: str) -> date:
+    """``period_end`` of a plain date."""
+    span = timedelta(days=7 if period == "1w" else 32)
+    return period_start(period_start(day, period) + span, period)
+
+
 def first_midnight(at: Column) -> Column:
     """The first date whose midnight is not before the instant ``at``."""
     day = F.to_date(at)

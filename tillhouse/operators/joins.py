@@ -121,21 +121,25 @@ class VersionStats:
 
 def version_stats(versions: DataFrame, natural_key: str) -> VersionStats:
     """Size of a version table, versions of its busiest key, and overlapping versions."""
-    by_start = Window.partitionBy(natural_key).orderBy(
-        "valid_from", F.col("valid_to").asc_nulls_last()
+    per_key = versions.groupBy(natural_key).agg(
+        F.sum(_row_bytes(versions)).alias("b"), F.count(F.lit(1)).alias("n")
     )
-    open_end = F.coalesce(F.col("valid_to"), F.lit("9999-12-31").cast("timestamp"))
-    latest_end = F.max(open_end).over(by_start.rowsBetween(Window.unboundedPreceding, -1))
-    row = (
-        versions.select(
-            _row_bytes(versions).alias("b"),
-            F.row_number().over(by_start).alias("n"),
-            (F.col("valid_from") < latest_end).cast("int").alias("o"),
-        )
-        .agg(F.sum("b").alias("b"), F.max("n").alias("n"), F.sum("o").alias("o"))
-        .first()
+    size = per_key.agg(F.sum("b").alias("b"), F.max("n").alias("n")).first()
+    most = size["n"] or 0
+    overlaps = overlapping_versions(versions, natural_key).count() if most > 1 else 0
+    return VersionStats(size["b"] or 0, most, overlaps)
+
+
+def overlapping_versions(versions: DataFrame, natural_key: str) -> DataFrame:
+    """Versions that start before an earlier one of the same entity has ended."""
+    earlier = (
+        Window.partitionBy(natural_key)
+        .orderBy("valid_from", F.col("valid_to").asc_nulls_last())
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    return VersionStats(row["b"] or 0, row["n"] or 0, row["o"] or 0)
+    open_end = F.coalesce(F.col("valid_to"), F.lit("9999-12-31").cast("timestamp"))
+    marked = versions.withColumn("_ended", F.max(open_end).over(earlier))
+    return marked.filter(F.col("valid_from") < F.col("_ended")).drop("_ended")
 
 
 def point_in_time_join(

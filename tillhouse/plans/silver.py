@@ -79,22 +79,32 @@ def site_dim_delta(
     )
 
 
-def day_fact(
+def keyed_days(
     raw: DataFrame,
     who: Provider,
     prod_dim: DataFrame,
     site_dim: DataFrame,
     limits: JoinLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
-    """Daily facts: one row per date, product and site, with version keys and masks.
+    """Daily facts without masks: one row per date, product and site, with version keys.
 
-    Of several rows with the same key the latest ingested counts. Facts are shuffled
-    to drop copies and, for masked providers, once more by series; with dimensions
-    that fit in memory the key lookups shuffle nothing. A fact without a product or
-    site version fails the job.
+    Of several rows with the same key the latest ingested counts. The only exchange is
+    the one that drops copies; with dimensions that fit in memory the key lookups
+    shuffle nothing. A fact without a product or site version fails the job.
     """
     facts = conform(raw, "store_fact", who.fact, who.fact_extras)
     facts = with_global_ids(latest_per_key(facts, FACT_KEYS), "prod_id", "site_id")
     facts = point_in_time_join(facts, prod_dim, "prod_id", "prod_key", limits=limits)
-    facts = point_in_time_join(facts, site_dim, "site_id", "site_key", limits=limits)
+    return point_in_time_join(facts, site_dim, "site_id", "site_key", limits=limits)
+
+
+def day_fact(
+    raw: DataFrame,
+    who: Provider,
+    prod_dim: DataFrame,
+    site_dim: DataFrame,
+    limits: JoinLimits = DEFAULT_LIMITS,
+) -> DataFrame:
+    """Daily facts with version keys and, for masked providers, moving averages by series."""
+    facts = keyed_days(raw, who, prod_dim, site_dim, limits)
     return apply_mask(facts, who.mask, "daily") if who.mask else facts

@@ -52,10 +52,10 @@ def products(spark, sf_dir) -> DataFrame:
 
 def stores(spark, sf_dir) -> DataFrame:
     """Supplier with nation and region as a full store dimension feed."""
-    supplier = table(spark, sf_dir, "supplier").withColumnRenamed("s_nationkey", "n_nationkey")
-    nation = table(spark, sf_dir, "nation").withColumnRenamed("n_regionkey", "r_regionkey")
-    placed = lookup_join(supplier, nation, ["n_nationkey"])
-    placed = lookup_join(placed, table(spark, sf_dir, "region"), ["r_regionkey"])
+    supplier = table(spark, sf_dir, "supplier")
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    country = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    placed = supplier.join(country, F.col("s_nationkey") == F.col("n_nationkey"), "left")
     return placed.select(
         F.col("s_suppkey").alias("store_id"),
         F.col("s_name").alias("store"),
