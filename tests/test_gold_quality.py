@@ -1,0 +1,175 @@
+"""Unions, gold tables, row visibility, schema gates, freshness and metrics."""
+
+from __future__ import annotations
+
+import json
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillhouse import schemas
+from tillhouse.operators import gold, quality
+from tillhouse.operators.bronze import to_bronze
+from tillhouse.operators.conform import check_extras, conform, rejects
+from tillhouse.operators.dedupe import require_unique
+from tillhouse.operators.joins import JoinLimits
+from tillhouse.operators.union import relaxed_union, upserted
+from tillhouse.plans.providers import DIRECTORY, PROVIDERS, provider
+
+NOW = datetime(2024, 1, 2, 3, 4, 5)
+
+
+def fact(spark, code, extra=None, units=1, prod="p"):
+    df = schemas.empty(spark, {k: v for k, v in schemas.STORE_FACT.items() if k != "extra_attributes"})
+    row = spark.range(1).select(
+        F.lit(code).alias("data_provider_code"), F.lit(prod).alias("prod_id"), F.lit("s").alias("site_id"),
+        F.lit("2024-01-01").cast("date").alias("time_period_end_date"), F.lit(units).cast("bigint").alias("pos_sales_units"),
+        F.lit(7).alias("secure_group_key"),
+    )
+    out = df.unionByName(row, allowMissingColumns=True)
+    return out if extra is None else out.withColumn("extra_attributes", extra)
+
+
+def test_gold_union_of_different_shapes(spark):
+    plain = fact(spark, "cds_1")
+    one = fact(spark, "cds_2", F.struct(F.lit("a").alias("x"), F.lit(None).cast("string").alias("y")))
+    other = fact(spark, "cds_3", F.struct(F.lit("b").alias("z")))
+    out = gold.gold_store_fact([plain, one, other])
+    assert out.columns == list(schemas.GOLD["store_fact"])
+    quality.gate(out, "store_fact", "gold")
+    texts = {r["data_provider_code"]: r["extra_attributes"] for r in out.collect()}
+    assert texts["cds_1"] is None
+    assert json.loads(texts["cds_2"]) == {"x": "a", "y": None}
+    assert json.loads(texts["cds_3"]) == {"z": "b"}
+
+
+def test_gold_provider_filter_removes_other_inputs(spark):
+    tagged = [fact(spark, c).withColumn("data_provider_code", F.lit(c)) for c in ("cds_1", "cds_2")]
+    out = gold.gold_store_fact(tagged, provider="cds_2")
+    assert [r["data_provider_code"] for r in out.collect()] == ["cds_2"]
+
+
+def test_gold_base_rows_stay_unless_silver_has_them(spark):
+    base = gold.gold_store_fact([fact(spark, "cds_1", units=1, prod="p"), fact(spark, "cds_1", units=2, prod="q")])
+    out = gold.gold_store_fact([fact(spark, "cds_1", units=9, prod="p")], base=base)
+    assert {(r["prod_id"], r["pos_sales_units"]) for r in out.collect()} == {("p", 9), ("q", 2)}
+
+
+def test_gold_of_nothing_is_empty_with_the_declared_columns(spark):
+    out = gold.gold_prod_dim([schemas.empty(spark, {"prod_id": schemas.STRING})])
+    assert out.columns == list(schemas.GOLD["prod_dim"])
+    assert out.isEmpty()
+
+
+def test_relaxed_union_widens_and_text_wins(spark):
+    a = spark.createDataFrame([(1, 1, "x")], "i int, m int, only_a string")
+    b = spark.createDataFrame([(2, "not a number")], "i long, m string")
+    out = relaxed_union([a, b])
+    assert out.schema["i"].dataType.simpleString() == "bigint"
+    assert {tuple(r) for r in out.collect()} == {(1, "1", "x"), (2, "not a number", None)}
+
+
+def test_upserted(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, v string")
+    source = spark.createDataFrame([(2, "B"), (3, "C"), (None, "N")], "k int, v string")
+    once = upserted(target, source, ["k"])
+    assert sorted(map(str, once.collect())) == sorted(
+        map(str, spark.createDataFrame([(1, "a"), (2, "B"), (3, "C"), (None, "n"), (None, "N")], "k int, v string").collect())
+    )
+    keyed = once.filter("k is not null")
+    again = upserted(keyed, source.filter("k is not null"), ["k"])
+    assert sorted(map(str, again.collect())) == sorted(map(str, keyed.collect()))
+
+
+def test_duplicate_source_keys_are_refused(spark):
+    with pytest.raises(ValueError, match="not unique"):
+        require_unique(spark.createDataFrame([(1,), (1,)], "k int"), ["k"])
+
+
+def test_visible_rows(spark):
+    df = spark.createDataFrame([(0, "open"), (1, "one"), (2, "two")], "secure_group_key int, v string")
+    assert {r["v"] for r in gold.visible_to_groups(df, [1]).collect()} == {"open", "one"}
+    grants = spark.createDataFrame([("ann", 1), ("bob", 2), ("ann", 1)], "user_name string, secure_group_key int")
+    for limits in (JoinLimits(), JoinLimits(broadcast_bytes=-1, hot_rows=1, hot_share=0.1)):
+        assert {r["v"] for r in gold.visible_to_user(df, grants, "ann", limits).collect()} == {"open", "one"}
+        assert [r["v"] for r in gold.visible_to_user(df, grants, "eve", limits).collect()] == ["open"]
+
+
+def test_schema_check_finds_everything_that_is_wrong(spark):
+    df = spark.createDataFrame(
+        [("p", 1, "x", "not a struct")], "prod_id string, prod_key int, surplus string, extra_attributes string"
+    )
+    report = schemas.check_schema(df.schema, schemas.PROD_DIM, schemas.PROD_DIM_REQUIRED)
+    assert not report.passed
+    assert "valid_from" in report.missing_cols and "prod_key" not in report.missing_cols
+    assert [m["col"] for m in report.type_mismatches] == ["prod_key", "extra_attributes"]
+    assert report.unexpected_cols == ["surplus"]
+    with pytest.raises(quality.SchemaGateError, match="surplus"):
+        quality.gate(df, "prod_dim")
+
+
+def test_schema_check_accepts_any_struct(spark):
+    good = schemas.empty(spark, {k: v for k, v in schemas.SITE_DIM.items() if k != "extra_attributes"})
+    assert quality.gate(good, "site_dim") is good
+    quality.gate(good.withColumn("extra_attributes", F.struct(F.lit(1).alias("any"))), "site_dim")
+
+
+def test_extra_columns_must_not_be_standard():
+    for table, standard in [("store_fact", "returned_qty"), ("prod_dim", "source_sector"), ("site_dim", "source_city")]:
+        with pytest.raises(ValueError, match=standard):
+            check_extras(table, [standard])
+    check_extras("store_fact", ["backroom_qty", "source_city"])
+    with pytest.raises(NotImplementedError):
+        schemas.in_model("week_dim", "x")
+
+
+def test_freshness(spark):
+    df = spark.createDataFrame(
+        [("a", NOW - timedelta(hours=23)), ("a", NOW - timedelta(days=9)), ("b", NOW - timedelta(hours=25))],
+        "data_source string, created_at_utc_datetime timestamp",
+    )
+    fresh = {r["data_source"]: r["is_fresh"] for r in quality.freshness(df, NOW).collect()}
+    assert fresh == {"a": True, "b": False}
+    weekly = quality.freshness(df, NOW, quality.FRESH_WITHIN["weekly"])
+    assert all(r["is_fresh"] for r in weekly.collect())
+
+
+def test_metrics_and_profile(spark):
+    df = spark.createDataFrame([("a", 1), ("b", None), (None, 1)], "id string, n int")
+    row = quality.table_metrics(df, "t", date_column="n", id_column="id").first()
+    assert tuple(row) == ("t", 3, 1, 2)
+    assert {tuple(r) for r in quality.null_profile(df).collect()} == {("id", 2), ("n", 2)}
+    observed, seen = quality.counted(df)
+    observed.collect()
+    assert seen.get["row_count"] == 3
+
+
+def test_bronze_is_text_except_for_the_tags(spark):
+    df = spark.createDataFrame([(1, 2.5, "007", NOW.date())], "i int, d double, s string, t date")
+    out = to_bronze(df, 1001, 110011, "uploader", NOW)
+    row = out.first()
+    assert (row["i"], row["d"], row["s"], row["t"]) == ("1", "2.5", "007", "2024-01-02")
+    assert (row["secure_group_key"], row["data_provider_code"], row["data_source"]) == (110011, "cds_1001", "uploader")
+    assert out.schema["secure_group_key"].dataType.simpleString() == "int"
+    assert (row["created_at_utc_datetime"], row["created_at_date"]) == (NOW, NOW.date())
+
+
+def test_conform_rejects_are_listed(spark):
+    raw = to_bronze(spark.createDataFrame([("1", "2024-01-01"), ("x", "01/02/2024")], "q string, d string"), 1, 0, "s", NOW)
+    fields = {"units": ("q", "bigint"), "day": ("d", "date")}
+    bad = rejects(raw, fields).collect()
+    assert [(r["q"], r["rejected_columns"]) for r in bad] == [("x", ["q", "d"])]
+    tolerant = conform(raw, "store_fact", fields, tolerant=True).collect()
+    assert [(r["units"], str(r["day"])) for r in tolerant] == [(1, "2024-01-01"), (None, "None")]
+
+
+def test_provider_directory():
+    assert {p.secure_group_key for p in PROVIDERS.values()} == {110011, 110012, 110013}
+    mapping = dict(
+        data_source="d", feed_format="csv", fact={}, prod={}, site={}, tracked_prod=(), tracked_site=()
+    )
+    open_entry = {5: {"name": "n", "region": "r", "country": "c"}}
+    assert provider(5, open_entry, **mapping).secure_group_key == 0
+    with pytest.raises(KeyError):
+        provider(6, DIRECTORY, **mapping)
