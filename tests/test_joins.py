@@ -167,8 +167,11 @@ def test_both_lookups_equal_brute_force(spark, seed):
     facts, versions, expected = _random_case(spark, seed)
     many = JoinLimits(versions_per_key=10**6)
     for limits in (many, SHUFFLED, SMALL):
-        found = point_in_time_join(facts, versions, "prod_id", "prod_key", strict=False, limits=limits)
-        assert rows(found) == expected
+        for derived in (False, True):
+            found = point_in_time_join(
+                facts, versions, "prod_id", "prod_key", strict=False, limits=limits, derived=derived
+            )
+            assert rows(found) == expected
 
 
 def test_history_and_current_joins(spark):

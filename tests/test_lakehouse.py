@@ -163,6 +163,19 @@ def test_one_date_of_a_landing_directory(spark, landed, tmp_path):
         house.ingest(INVENTORY_FEED, landed[0][0][1003], FIRST, partition="2030-01-01")
 
 
+def test_only_new_dates_are_loaded(spark, landed, tmp_path):
+    house = Lakehouse(spark, str(tmp_path))
+    first, second = landed[0][0][1003], landed[0][1][1003]
+    assert house.ingest_new_partitions(INVENTORY_FEED, first, FIRST).count() == CUT
+    # the second delivery repeats the last date of the first one
+    loaded = house.ingest_new_partitions(INVENTORY_FEED, second, SECOND)
+    assert loaded.count() == END - CUT
+    assert house.table("bronze", "day_fact", INVENTORY_FEED).count() == END * ROWS_PER_DAY
+    assert house.ingest_new_partitions(INVENTORY_FEED, second, SECOND).isEmpty()
+    again = house.ingest_new_partitions(INVENTORY_FEED, second, SECOND, reprocess=True)
+    assert again.count() == END - CUT + 1
+
+
 def test_stream_reads_each_file_once_and_equals_a_batch(spark, tmp_path):
     landing = tmp_path / "landing"
     first = feed_files.inventory_texts(landing, 0, 2)

@@ -50,6 +50,15 @@ def surrogate_key(columns: list[str], algorithm: str = "xxhash64") -> Column:
     raise ValueError(f"unknown key algorithm {algorithm!r}")
 
 
+def _parse_date(text: Column, tolerant: bool) -> Column:
+    """The plain cast is several times faster than the pattern, but would take other layouts too."""
+    dashes = (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
+    usual = (F.length(text) == 10) & dashes
+    if tolerant:
+        return F.when(usual, text.try_cast("date")).otherwise(F.try_to_date(text, "yyyy-MM-dd"))
+    return F.when(usual, text.cast("date")).otherwise(F.to_date(text, "yyyy-MM-dd"))
+
+
 def parse(column: Column, types: str | tuple[str, ...], tolerant: bool = False) -> Column:
     """Cast through ``types`` in order; dates are ``yyyy-MM-dd``.
 
@@ -57,7 +66,7 @@ def parse(column: Column, types: str | tuple[str, ...], tolerant: bool = False)
     """
     for name in (types,) if isinstance(types, str) else types:
         if name == "date":
-            column = (F.try_to_date if tolerant else F.to_date)(column, "yyyy-MM-dd")
+            column = _parse_date(column, tolerant)
         else:
             column = column.try_cast(name) if tolerant else column.cast(name)
     return column

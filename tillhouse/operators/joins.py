@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillhouse.functions.periods import first_midnight, valid_on
+from tillhouse.session import written
 
 
 @dataclass(frozen=True)
@@ -150,6 +151,7 @@ def point_in_time_join(
     date_column: str = "time_period_end_date",
     strict: bool = True,
     limits: JoinLimits = DEFAULT_LIMITS,
+    derived: bool = False,
 ) -> DataFrame:
     """Add the surrogate key of the dimension version valid on each fact's date.
 
@@ -157,12 +159,18 @@ def point_in_time_join(
     on a fact without a version, naming the dimension and the id, without any extra
     pass over the facts; otherwise such facts keep a null key. Overlapping versions,
     which would multiply facts, are always refused.
+
+    The shuffled lookup first counts the ids of the facts. Say ``derived`` when the facts
+    come out of an exchange or join: they are then written once instead of computed
+    for each pass.
     """
     versions = dim.select(natural_key, surrogate_key, "valid_from", "valid_to")
     stats = version_stats(versions, natural_key)
     if stats.overlaps:
         raise ValueError(f"{stats.overlaps} versions overlap on {natural_key}: facts would fan out")
     small = stats.bytes <= limits.broadcast_bytes and stats.most_per_key <= limits.versions_per_key
+    if derived and not small:
+        facts = written(facts)
     lookup = _range_lookup if small else _as_of_lookup
     found = lookup(facts, versions, natural_key, surrogate_key, date_column, limits)
     if not strict:

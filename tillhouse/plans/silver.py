@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from tillhouse.functions.columns import prefix_columns
 from tillhouse.operators.bronze import to_bronze
 from tillhouse.operators.conform import conform, with_global_ids
-from tillhouse.operators.dedupe import latest_per_key
+from tillhouse.operators.dedupe import distinct_rows, latest_per_key
 from tillhouse.operators.joins import DEFAULT_LIMITS, JoinLimits, enrich, point_in_time_join
 from tillhouse.operators.masking import apply_mask
 from tillhouse.operators.scd2 import version_delta
@@ -34,7 +34,8 @@ def _dimension(
     limits: JoinLimits,
     **options,
 ) -> DataFrame:
-    one_each = latest_per_key(rows, [natural_key])
+    # Attributes repeat on every sale: copies go by hash before anything is sorted.
+    one_each = latest_per_key(distinct_rows(rows), [natural_key])
     dim = prefix_columns(one_each, "source", [*REQUIRED_ANYWHERE, "extra_attributes"])
     if master is not None and f"source_{master_key}" in dim.columns:
         dim = enrich(dim, master, f"source_{master_key}", f"corp_{master_key}", limits)
@@ -94,8 +95,8 @@ def keyed_days(
     """
     facts = conform(raw, "store_fact", who.fact, who.fact_extras)
     facts = with_global_ids(latest_per_key(facts, FACT_KEYS), "prod_id", "site_id")
-    facts = point_in_time_join(facts, prod_dim, "prod_id", "prod_key", limits=limits)
-    return point_in_time_join(facts, site_dim, "site_id", "site_key", limits=limits)
+    facts = point_in_time_join(facts, prod_dim, "prod_id", "prod_key", limits=limits, derived=True)
+    return point_in_time_join(facts, site_dim, "site_id", "site_key", limits=limits, derived=True)
 
 
 def day_fact(

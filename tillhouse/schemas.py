@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 STRING, LONG, DOUBLE = T.StringType(), T.LongType(), T.DoubleType()
@@ -129,8 +130,8 @@ TABLE_KEYS: dict[str, list[str]] = {
 
 def empty(spark: SparkSession, columns: Columns) -> DataFrame:
     """A frame with the declared columns and no rows."""
-    schema = T.StructType([T.StructField(n, t, True) for n, t in columns.items()])
-    return spark.createDataFrame([], schema)
+    nothing = spark.range(1).where(F.lit(False))  # folds away, also inside unions
+    return nothing.select(*[F.lit(None).cast(t).alias(n) for n, t in columns.items()])
 
 
 def in_model(table: str, column: str) -> bool:
