@@ -47,8 +47,7 @@ def lake(spark, landed, tmp_path_factory):
     loads, (product, site) = landed
     house = Lakehouse(spark, str(tmp_path_factory.mktemp("lake")), product, site)
     for load, at in zip(loads, (FIRST, SECOND)):
-        for who in PROVIDERS.values():
-            house.run(who, load[who.id], at)
+        house.run_all(load, at)
     return house
 
 

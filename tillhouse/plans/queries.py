@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from tillhouse.plans import silver
 from tillhouse.plans import standins as s
 from tillhouse.plans.providers import PROVIDERS, SALES_FEED
 from tillhouse.schemas import STORE_FACT, STORE_FACT_REQUIRED
-from tillhouse.session import work_dir, written
+from tillhouse.session import together, work_dir, written
 from tillhouse.sources import feeds, files, master
 from tillhouse.streaming import ingest
 
@@ -237,8 +238,10 @@ def dim_asof(spark, sf_dir):
 
 
 def _with_keys(spark, sf_dir, limits):
-    prod = s.history(spark, sf_dir, s.product_batch, s.PRODUCT_SCD)
-    site = s.history(spark, sf_dir, s.site_batch, s.SITE_SCD)
+    prod, site = together(
+        partial(s.history, spark, sf_dir, s.product_batch, s.PRODUCT_SCD),
+        partial(s.history, spark, sf_dir, s.site_batch, s.SITE_SCD),
+    )
     facts = point_in_time_join(s.facts(spark, sf_dir), prod, "prod_id", "prod_key", limits=limits)
     return point_in_time_join(facts, site, "site_id", "site_key", limits=limits), prod, site
 
@@ -388,15 +391,16 @@ def upsert_fact(spark, sf_dir):
 @query
 def schema_union_gold_fact(spark, sf_dir):
     """Three feeds with different columns and attributes in one declared layout."""
-    rows = gold.gold_store_fact([_conformed(spark, sf_dir, p) for p in PROVIDERS])
+    rows = gold.gold_store_fact(together(*[partial(_conformed, spark, sf_dir, p) for p in PROVIDERS]))
     return _text(rows, "created_at_utc_datetime").drop("prod_key", "site_key")
 
 
 def _gold_dim(spark, sf_dir, delta, build, corp):
-    dims = []
-    for who in PROVIDERS.values():
+    def one(who):
         raw = silver.bronze(s.feed(spark, sf_dir, who.id), who, s.LOADED)
-        dims.append(delta(raw, who, None, corp, s.LOADED, algorithm="md5"))
+        return delta(raw, who, None, corp, s.LOADED, algorithm="md5")
+
+    dims = together(*[partial(one, who) for who in PROVIDERS.values()])
     return _text(build(dims), "created_at_utc_datetime", "valid_from", "valid_to")
 
 
@@ -412,14 +416,17 @@ def gold_site_dim(spark, sf_dir):
     return _gold_dim(spark, sf_dir, silver.site_dim_delta, gold.gold_site_dim, corp)
 
 
+def _silver_day(spark, sf_dir, who):
+    raw = silver.bronze(s.feed(spark, sf_dir, who.id), who, s.LOADED)
+    prod, site = together(
+        lambda: written(silver.prod_dim_delta(raw, who, None, None, s.LOADED, algorithm="md5")),
+        lambda: written(silver.site_dim_delta(raw, who, None, None, s.LOADED, algorithm="md5")),
+    )
+    return silver.day_fact(raw, who, prod, site)
+
+
 def _silver_days(spark, sf_dir):
-    days = []
-    for who in PROVIDERS.values():
-        raw = silver.bronze(s.feed(spark, sf_dir, who.id), who, s.LOADED)
-        prod = written(silver.prod_dim_delta(raw, who, None, None, s.LOADED, algorithm="md5"))
-        site = written(silver.site_dim_delta(raw, who, None, None, s.LOADED, algorithm="md5"))
-        days.append(silver.day_fact(raw, who, prod, site))
-    return days
+    return together(*[partial(_silver_day, spark, sf_dir, who) for who in PROVIDERS.values()])
 
 
 def _gold_fact(silver_facts):

@@ -7,6 +7,7 @@ the provider. All rows are used; a feed differs from another only in layout.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from tillhouse.operators.dedupe import latest_per_key
 from tillhouse.operators.joins import lookup_join
 from tillhouse.operators.scd2 import version_delta
 from tillhouse.operators.union import upserted
-from tillhouse.session import prepare, written
+from tillhouse.session import prepare, together, written
 
 LOADED = datetime(2002, 1, 1)  # ingestion time of every derived feed
 PROVIDER_FLAG = {1001: "A", 1002: "N", 1003: "R"}
@@ -220,10 +221,12 @@ def history(spark, sf_dir, batch, scd: dict, runs: int = 3, reopen: bool = False
     """The stored dimension after the first ``runs`` batches, each applied to the last state."""
     keys = [scd["natural_key"], scd["key"]]
     periods = [(None, FIRST_CUT, FIRST_CUT), (FIRST_CUT, SECOND_CUT, SECOND_CUT), (SECOND_CUT, None, LAST_RUN)]
+    periods = periods[:runs]
+    batches = together(*[partial(batch, spark, sf_dir, start, end) for start, end, _ in periods])
     dim = None
-    for start, end, run_at in periods[:runs]:
+    for rows, (_, _, run_at) in zip(batches, periods):
         delta = version_delta(
-            batch(spark, sf_dir, start, end),
+            rows,
             dim,
             as_of=run_at,
             reopen_reverted=reopen,

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,6 +53,16 @@ def work_dir(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def together(*steps: Callable[[], Any]) -> list[Any]:
+    """Run independent steps at the same time and return their results in order.
+
+    Spark runs the jobs of several threads side by side, so the last tasks of one step
+    do not leave the other executors idle.
+    """
+    with ThreadPoolExecutor(max(1, len(steps))) as pool:
+        return [future.result() for future in [pool.submit(step) for step in steps]]
+
+
 def written(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` once and read it back.
 
