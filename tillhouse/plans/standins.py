@@ -175,9 +175,9 @@ def _observed(spark, sf_dir, key: str, start: datetime | None, end: datetime | N
     items = table(spark, sf_dir, "lineitem").select(key, "l_shipdate", "l_linestatus")
     at = F.col("l_shipdate")
     if start is not None:
-        items = items.filter(at >= F.lit(start).cast("timestamp_ntz"))
+        items = items.filter(at >= F.lit(str(start)).cast("timestamp_ntz"))
     if end is not None:
-        items = items.filter(at < F.lit(end).cast("timestamp_ntz"))
+        items = items.filter(at < F.lit(str(end)).cast("timestamp_ntz"))
     return latest_per_key(items, [key], newest="l_shipdate")
 
 
