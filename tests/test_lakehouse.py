@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 import feed_files
+from tillhouse.operators.joins import with_history
 from tillhouse.operators.quality import gate
 from tillhouse.operators.scd2 import current_versions
 from tillhouse.plans.lakehouse import LAYOUT, Lakehouse
 from tillhouse.plans.providers import INVENTORY_FEED, PROVIDERS, SALES_FEED, WIDE_SALES_FEED
 from tillhouse.schemas import FACT_KEYS
-from tillhouse.sources.feeds import read_feed
+from tillhouse.sources.feeds import read_feed, read_star_feed
 from tillhouse.streaming import ingest
 
 FIRST, SECOND = datetime(2024, 1, 21), datetime(2024, 2, 11, 6)
@@ -145,6 +147,53 @@ def test_metrics(lake):
     assert lake.metrics("gold", "prod_dim").first()["id_count"] == 3 * feed_files.PRODUCTS
 
 
+def test_metrics_are_kept(spark, lake):
+    for name in ("day_fact", "prod_dim"):
+        lake.record_metrics("gold", name, SECOND)
+    kept = spark.read.parquet(f"{lake.root}/metrics")
+    assert {(r["table_name"], r["layer"], r["recorded_at"]) for r in kept.collect()} == {
+        ("day_fact", "gold", SECOND), ("prod_dim", "gold", SECOND),
+    }
+
+
+STAR = replace(
+    SALES_FEED,
+    id=1004,
+    name="star",
+    feed_format="csv",
+    prod={"prod_id": ("product_id", "string"), "prod_name": ("product", "string"), "category": ("category", "string")},
+    tracked_prod=("source_prod_name", "source_category"),
+)
+
+
+def test_star_feed_with_dimensions_refreshed_every_day(spark, tmp_path):
+    house = Lakehouse(spark, str(tmp_path / "lake"), providers={STAR.id: STAR})
+    for day in (1, 2, 3):
+        at, folder = datetime(2024, 1, day, 6), tmp_path / f"day{day}"
+        folder.mkdir()
+        stores = "id,store\n0,Store\n" if day == 1 else "id,store\n"  # nothing new: an empty file
+        (folder / "p.csv").write_text(f"id,product,category\n0,same,c\n1,other,drawn {day}\n")
+        (folder / "s.csv").write_text(stores)
+        (folder / "f.csv").write_text(
+            "date,store,product,sales_qty,sales_value_usd\n" + "".join(f"2024-01-0{day},0,{p},{day},1.5\n" for p in (0, 1))
+        )
+        feed = read_star_feed(spark, *[str(folder / f"{n}.csv") for n in "psf"], "csv")
+        house.ingest_star(STAR, feed, at)
+        since = at.date() if day > 1 else None
+        house.refresh_dims(STAR, at, since)
+        house.refresh_facts(STAR, at, since)
+    dim = house.table("silver", "prod_dim", STAR)
+    assert dim.filter("prod_id = '10040'").count() == 1
+    assert [r["source_category"] for r in dim.filter("prod_id = '10041'").orderBy("valid_from").collect()] == [
+        "drawn 1", "drawn 2", "drawn 3",
+    ]
+    assert house.table("silver", "site_dim", STAR).count() == 1
+    facts = with_history(house.table("silver", "day_fact", STAR), dim.select("prod_key", "source_category"), "prod_key")
+    found = {(r["time_period_end_date"].day, r["source_category"]) for r in facts.filter("prod_id = '10041'").collect()}
+    # versions start at six in the morning, so a day's sales still see the version before
+    assert found == {(1, "drawn 1"), (2, "drawn 1"), (3, "drawn 2")}
+
+
 def test_facts_need_their_dimensions_first(spark, landed, tmp_path):
     empty = Lakehouse(spark, str(tmp_path))
     with pytest.raises(ValueError, match="has not been loaded"):
