@@ -43,7 +43,8 @@ def lookup(spark):
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
 def test_salted_join_equals_broadcast_join(sales, lookup, how):
     expected = rows(lookup_join(sales, lookup, ["k"], how, SMALL))
-    assert rows(lookup_join(sales, lookup, ["k"], how, SHUFFLED)) == expected
+    for derived in (False, True):
+        assert rows(lookup_join(sales, lookup, ["k"], how, SHUFFLED, derived)) == expected
 
 
 def test_hot_keys_are_spread_and_bounded(sales):

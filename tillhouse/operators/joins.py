@@ -88,16 +88,20 @@ def lookup_join(
     keys: Sequence[str],
     how: str = "left",
     limits: JoinLimits = DEFAULT_LIMITS,
+    derived: bool = False,
 ) -> DataFrame:
     """Equi-join ``big`` with ``small`` on equally named keys; null keys never match.
 
-    ``how`` is inner, left, left_semi or left_anti.
+    ``how`` is inner, left, left_semi or left_anti. The shuffled path first counts the
+    keys of ``big``; say ``derived`` when it comes out of an exchange or join, so that it
+    is written once instead of computed for each pass.
     """
     keys = list(keys)
     if how in ("left_semi", "left_anti"):
         small = small.select(*keys).distinct()
     if measured_bytes(small) <= limits.broadcast_bytes:
         return big.join(F.broadcast(small), keys, how)
+    big = written(big) if derived else big
     left, right = salted(big, small, keys, limits)
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
@@ -108,9 +112,11 @@ def enrich(
     dim_key: str,
     master_key: str,
     limits: JoinLimits = DEFAULT_LIMITS,
+    derived: bool = False,
 ) -> DataFrame:
     """Left join to master data; the master's own key column is not kept."""
-    return lookup_join(dim, master.withColumnRenamed(master_key, dim_key), [dim_key], "left", limits)
+    keyed = master.withColumnRenamed(master_key, dim_key)
+    return lookup_join(dim, keyed, [dim_key], "left", limits, derived)
 
 
 @dataclass(frozen=True)
@@ -160,9 +166,7 @@ def point_in_time_join(
     pass over the facts; otherwise such facts keep a null key. Overlapping versions,
     which would multiply facts, are always refused.
 
-    The shuffled lookup first counts the ids of the facts. Say ``derived`` when the facts
-    come out of an exchange or join: they are then written once instead of computed
-    for each pass.
+    ``derived`` has the same meaning as in ``lookup_join``.
     """
     versions = dim.select(natural_key, surrogate_key, "valid_from", "valid_to")
     stats = version_stats(versions, natural_key)

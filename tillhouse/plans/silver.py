@@ -38,7 +38,7 @@ def _dimension(
     one_each = latest_per_key(distinct_rows(rows), [natural_key])
     dim = prefix_columns(one_each, "source", [*REQUIRED_ANYWHERE, "extra_attributes"])
     if master is not None and f"source_{master_key}" in dim.columns:
-        dim = enrich(dim, master, f"source_{master_key}", f"corp_{master_key}", limits)
+        dim = enrich(dim, master, f"source_{master_key}", f"corp_{master_key}", limits, derived=True)
     dim = with_global_ids(dim, natural_key)
     return version_delta(dim, existing, tracked, natural_key, key, as_of, one_each=True, **options)
 
