@@ -1,0 +1,26 @@
+from __future__ import annotations
+
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+
+@pytest.fixture(scope="session")
+def sf() -> str:
+    return "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def docs_of(spark):
+    """A documents table of texts, with the ids 0, 1, ... or those given, and further string columns."""
+
+    def make(texts, ids=None, **more):
+        ids = list(range(len(texts))) if ids is None else ids
+        rows = [(i, t, None, "s", None if t is None else len(t), *[v[k] for v in more.values()]) for k, (i, t) in enumerate(zip(ids, texts, strict=True))]
+        extra = "".join(f", `{c}` string" for c in more)
+        return spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long{extra}")
+
+    return make
