@@ -1,0 +1,63 @@
+from __future__ import annotations
+
+import hashlib
+
+import public_tokenizers
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from material import ODD, documents
+from tillhouse.llm import bpe
+from tillhouse.llm.queries import QUERIES
+
+PATH = public_tokenizers.path(bpe.VOCABULARY)
+LIBRARY = Tokenizer.from_file(PATH)
+
+
+def plain(text):
+    ids = LIBRARY.encode(text or "", add_special_tokens=False).ids
+    decoded = LIBRARY.decode(ids, skip_special_tokens=False)
+    return len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+
+
+def test_query_equals_the_library(spark, sf):
+    got = QUERIES["op9_byte_pairs"](spark, sf).orderBy("doc_id").collect()
+    assert [tuple(r) for r in got] == [(d, *plain(t)) for d, t in documents(sf)]
+
+
+def test_odd_texts_null_ids_and_repeats(docs_of):
+    texts = [*ODD, "<|endoftext|>", "a<|endoftext|><|endoftext|> b", "a", "a"]
+    ids = [*range(len(texts) - 2), None, None]
+    got = sorted((tuple(r) for r in bpe.round_trip(docs_of(texts, ids, ids_sha256=["x"] * len(texts))).collect()), key=str)
+    assert got == sorted(((i, *plain(t)) for i, t in zip(ids, texts, strict=True)), key=str)
+    assert bpe.round_trip(docs_of([])).collect() == []
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text())
+def test_any_text_round_trips_as_in_the_library(text):
+    pairs = bpe.load(PATH)
+    ids = pairs.encode(text.encode())
+    assert ids == LIBRARY.encode(text, add_special_tokens=False).ids
+    assert pairs.decode(ids) == text
+
+
+def test_ids_that_end_within_a_character():
+    pairs = bpe.load(PATH)
+    ids = pairs.encode("😀中".encode())
+    for cut in range(len(ids) + 1):
+        assert pairs.decode(ids[:cut]) == LIBRARY.decode(ids[:cut], skip_special_tokens=False)
+
+
+def test_long_pieces_and_full_caches(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE", 10)
+    pairs = bpe.BytePairs(PATH)
+    for text in ("ab" * 40_000, "x" * 5000, " ".join(f"word{i % 37}" for i in range(500))):
+        assert pairs.encode(text.encode()) == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def test_operators_invert_each_other(docs_of):
+    texts = [t for t in ODD if t is not None]
+    back = bpe.decode(bpe.encode(docs_of(texts))).orderBy("doc_id").collect()
+    assert [r.text for r in back] == texts

@@ -28,7 +28,7 @@ SAMPLE = 6000
 #: Longer documents are not part of the sample (they are scored like any other).
 SAMPLE_CHARS = 200_000
 #: Gradient steps, documents in each, and their size.
-STEPS = 1200
+STEPS = 2000
 BATCH = 64
 RATE = 0.12
 DECAY = 1e-4

@@ -32,6 +32,8 @@ SEED = 42
 SEGMENTS = ((0, 21), (21, 21), (42, 22))
 #: x^11 + x^9 + x^7 + x^6 + x^5 + x + 1, the generator of the Golay code.
 GENERATOR = 0b101011100011
+#: Fingerprints under one key up to which all pairs are verified.
+CROWD = 256
 #: Shingles whose hashes are counted at once.
 COUNTED = 1 << 16
 
@@ -153,11 +155,52 @@ def keyed(fps: DataFrame, probing: bool) -> DataFrame:
     return fps.select("fp").mapInArrow(each, f"key long, {name} long")
 
 
-def links(fps: DataFrame) -> DataFrame:
-    """Pairs ``a < b`` of distinct fingerprints within ``DISTANCE`` bits, each at least once."""
+def links(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
+    """Links ``a < b`` of distinct fingerprints, each within ``DISTANCE`` bits, that reach whatever any link reaches.
+
+    Under a key with at most ``crowd`` fingerprints all pairs are verified. In a larger crowd pairs would grow with
+    its square; there every member is linked by ``crowd_links`` instead.
+    """
     filed, asked = keyed(fps, False), keyed(fps, True)
+    crowded = written(filed.groupBy("key").count().filter(F.col("count") > crowd).select("key"))
+    some = not crowded.isEmpty()
+    few = filed.join(crowded, "key", "left_anti") if some else filed
     close = (F.col("near") < F.col("fp")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("near"))) <= DISTANCE)
-    return filed.join(asked, "key").filter(close).select(F.col("near").alias("a"), F.col("fp").alias("b"))
+    pairs = few.join(asked, "key").filter(close).select(F.col("near").alias("a"), F.col("fp").alias("b"))
+    if not some:
+        return pairs
+    members = filed.join(crowded, "key", "left_semi").select("fp").distinct()
+    seekers = asked.join(crowded, "key", "left_semi").select(F.col("near").alias("fp")).distinct()
+    return pairs.unionByName(crowd_links(members, seekers))
+
+
+def _around(fps: DataFrame, bits: int) -> DataFrame:
+    """Every 64-bit word within so many bits of each fingerprint: ``point`` and ``fp``."""
+    flips = [sum(1 << b for b in chosen) for n in range(bits + 1) for chosen in combinations(range(64), n)]
+    masks = np.array(flips, np.uint64).view(np.int64)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.column("fp").to_numpy()
+            for at in range(0, len(own), 32):
+                part = own[at : at + 32]
+                points = (part[:, None] ^ masks).ravel()
+                yield pa.RecordBatch.from_arrays([pa.array(points), pa.array(np.repeat(part, len(masks)))], ["point", "fp"])
+
+    return fps.select("fp").mapInArrow(each, "point long, fp long")
+
+
+def crowd_links(members: DataFrame, seekers: DataFrame) -> DataFrame:
+    """Links of crowded fingerprints, in number proportional to the seekers.
+
+    Two words within three bits have some word between them that is within one bit of the one and two of the
+    other. Whoever is within two bits of such a point is within three of every member within one bit of it; so
+    the smallest of these members stands for them, and no pair needs to be formed or verified. Members are
+    among the seekers.
+    """
+    least = _around(members, 1).groupBy("point").agg(F.min("fp").alias("least"))
+    met = _around(seekers, 2).join(least, "point").filter("fp <> least")
+    return met.select(F.least("fp", "least").alias("a"), F.greatest("fp", "least").alias("b"))
 
 
 def _groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
