@@ -72,9 +72,9 @@ def rotate(turns: DataFrame) -> DataFrame:
         {
             "before": F.col("n_before") + F.coalesce(F.sum("copies").over(within), F.lit(0)),
             "ahead": F.col("m_before") + F.coalesce(F.sum(F.col("copies") * F.col("long")).over(within), F.lit(0)),
-            "copy": F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)),
         }
     )
+    placed = placed.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))  # after the sums
     start = F.col("ahead") + F.col("copy") * F.col("long")
     end = start + F.col("long") - 1  # the line end after the end mark is not trained on
     text_start = end - F.length("content") - len(END)
