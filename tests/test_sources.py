@@ -168,11 +168,5 @@ def test_upsert_of_nothing_changes_nothing(spark, tmp_path):
     assert tables.load_table(spark, path).count() == 1
 
 
-def test_delta_needs_its_package(spark, tmp_path):
-    one = spark.createDataFrame([(date(2024, 1, 1), "a", "c", 1)], SALES)
-    with pytest.raises(RuntimeError, match="Delta"):
-        tables.upsert_table(one, str(tmp_path / "t"), ["day", "id"], ["code"], fmt="delta")
-
-
 def test_empty_frame(spark):
     assert empty(spark, {"a": STRING}).dtypes == [("a", "string")]

@@ -72,6 +72,17 @@ def parse(column: Column, types: str | tuple[str, ...], tolerant: bool = False)
     return column
 
 
+def as_text(df: DataFrame, name: str) -> Column:
+    """A column as text. Doubles never get an exponent between 1e-12 and 1e28, where all their digits fit a decimal."""
+    column, text = F.col(name), F.col(name).cast("string")
+    if not isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        return text
+    size = F.abs(column)
+    digits = F.when(size >= 1, column.cast("decimal(38,10)").cast("string")).otherwise(column.cast("decimal(38,30)").cast("string"))
+    plain = F.regexp_replace(F.regexp_replace(digits, r"0+$", ""), r"\.$", ".0")
+    return F.when(text.contains("E") & (size >= 1e-12) & (size < 1e28), plain).otherwise(text)
+
+
 def non_strings(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if not isinstance(f.dataType, T.StringType)]
 

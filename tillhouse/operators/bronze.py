@@ -7,12 +7,13 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillhouse.functions.columns import instant, non_strings, provider_code
+from tillhouse.functions.columns import as_text, instant, non_strings, provider_code
 
 
 def strings_only(df: DataFrame) -> DataFrame:
+    """Every column as text; doubles in plain decimal form, as files of text would hold them."""
     others = set(non_strings(df))
-    return df.select([F.col(c).cast("string").alias(c) if c in others else F.col(c) for c in df.columns])
+    return df.select([as_text(df, c).alias(c) if c in others else F.col(c) for c in df.columns])
 
 
 def with_security(df: DataFrame, secure_group_key: int) -> DataFrame:

@@ -1,8 +1,9 @@
 """Joins of a big side with a smaller one, and point-in-time version lookup.
 
-A side is broadcast only after its rows have been measured. Beyond the limit the
-join is shuffled, and keys that hold a large share of the big side (null included)
-are spread over several tasks, with the matching lookup rows repeated per task.
+A side is broadcast only after its rows have been measured. Beyond the limit the join is
+shuffled on its keys, and adaptive execution splits the partitions of a key that holds very
+many rows (null included), since the other side is repeated per split. The size of a side decides
+how a join runs, never what it gives.
 """
 
 from __future__ import annotations
@@ -15,18 +16,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillhouse.functions.periods import first_midnight, valid_on
-from tillhouse.session import written
+from tillhouse.functions.periods import valid_on
 
 
 @dataclass(frozen=True)
 class JoinLimits:
-    """What may be broadcast, and from which share of the rows a key counts as hot."""
+    """What may be broadcast."""
 
     broadcast_bytes: int = 64 << 20
-    versions_per_key: int = 64
-    hot_share: float = 1e-4  # at most 1 / hot_share keys can be hot
-    hot_rows: int = 1_000_000  # fewer rows than this never count as hot
 
 
 DEFAULT_LIMITS = JoinLimits()
@@ -48,93 +45,47 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(_row_bytes(df)).alias("b")).first()["b"] or 0
 
 
-def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"_{k}"]) for k in keys])
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], limits: JoinLimits) -> DataFrame:
-    """Keys above the hot share with the number of tasks to spread them over.
-
-    The threshold is a share of the total, so there are never more than
-    ``1 / hot_share`` of them however large ``df`` grows.
-    """
-    per_task = max(limits.hot_rows, int(df.count() * limits.hot_share) + 1)
-    counts = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
-    spread = F.ceil(F.col("_n") / per_task).cast("int").alias("_spread")
-    return counts.filter(F.col("_n") > per_task).select(*[f"_{k}" for k in keys], spread)
-
-
-def salted(
-    big: DataFrame, small: DataFrame, keys: Sequence[str], limits: JoinLimits
-) -> tuple[DataFrame, DataFrame]:
-    """Both sides with a ``_salt`` that splits the hot keys of ``big``.
-
-    The salt of a row is a hash of the row, so a task that is run again gives the
-    same salts.
-    """
-    hot = F.broadcast(hot_keys(big, keys, limits))  # at most 1 / hot_share rows
-    drop = [f"_{k}" for k in keys] + ["_spread"]
-    share = F.coalesce(F.col("_spread"), F.lit(1))
-    big_salt = F.pmod(F.xxhash64(*[big[c] for c in big.columns]), share).cast("int")
-    left = big.join(hot, _null_safe(big, hot, keys), "left").withColumn("_salt", big_salt)
-    copies = F.explode(F.sequence(F.lit(0), share - 1))
-    right = small.join(hot, _null_safe(small, hot, keys), "left").withColumn("_salt", copies)
-    return left.drop(*drop), right.drop(*drop)
-
-
 def lookup_join(
     big: DataFrame,
     small: DataFrame,
     keys: Sequence[str],
     how: str = "left",
     limits: JoinLimits = DEFAULT_LIMITS,
-    derived: bool = False,
 ) -> DataFrame:
     """Equi-join ``big`` with ``small`` on equally named keys; null keys never match.
 
-    ``how`` is inner, left, left_semi or left_anti. The shuffled path first counts the
-    keys of ``big``; say ``derived`` when it comes out of an exchange or join, so that it
-    is written once instead of computed for each pass.
+    ``how`` is inner, left, left_semi or left_anti. The big side is read once, with the columns
+    that are used later, on either path.
     """
     keys = list(keys)
     if how in ("left_semi", "left_anti"):
         small = small.select(*keys).distinct()
     if measured_bytes(small) <= limits.broadcast_bytes:
         return big.join(F.broadcast(small), keys, how)
-    big = written(big) if derived else big
-    left, right = salted(big, small, keys, limits)
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+    return big.join(small.hint("shuffle_merge"), keys, how)
 
 
 def enrich(
-    dim: DataFrame,
-    master: DataFrame,
-    dim_key: str,
-    master_key: str,
-    limits: JoinLimits = DEFAULT_LIMITS,
-    derived: bool = False,
+    dim: DataFrame, master: DataFrame, dim_key: str, master_key: str, limits: JoinLimits = DEFAULT_LIMITS
 ) -> DataFrame:
     """Left join to master data; the master's own key column is not kept."""
-    keyed = master.withColumnRenamed(master_key, dim_key)
-    return lookup_join(dim, keyed, [dim_key], "left", limits, derived)
+    return lookup_join(dim, master.withColumnRenamed(master_key, dim_key), [dim_key], "left", limits)
 
 
 @dataclass(frozen=True)
 class VersionStats:
     bytes: int
-    most_per_key: int
     overlaps: int
 
 
 def version_stats(versions: DataFrame, natural_key: str) -> VersionStats:
-    """Size of a version table, versions of its busiest key, and overlapping versions."""
+    """Size of a version table, and how many of its versions overlap an earlier one."""
     per_key = versions.groupBy(natural_key).agg(
         F.sum(_row_bytes(versions)).alias("b"), F.count(F.lit(1)).alias("n")
     )
     size = per_key.agg(F.sum("b").alias("b"), F.max("n").alias("n")).first()
-    most = size["n"] or 0
-    overlaps = overlapping_versions(versions, natural_key).count() if most > 1 else 0
-    return VersionStats(size["b"] or 0, most, overlaps)
+    overlaps = overlapping_versions(versions, natural_key).count() if (size["n"] or 0) > 1 else 0
+    return VersionStats(size["b"] or 0, overlaps)
 
 
 def overlapping_versions(versions: DataFrame, natural_key: str) -> DataFrame:
@@ -157,90 +108,63 @@ def point_in_time_join(
     date_column: str = "time_period_end_date",
     strict: bool = True,
     limits: JoinLimits = DEFAULT_LIMITS,
-    derived: bool = False,
 ) -> DataFrame:
-    """Add the surrogate key of the dimension version valid on each fact's date.
-
-    A date counts as midnight UTC. ``strict`` makes the job that uses the result fail
-    on a fact without a version, naming the dimension and the id, without any extra
-    pass over the facts; otherwise such facts keep a null key. Overlapping versions,
-    which would multiply facts, are always refused.
+    """Add the surrogate key of the dimension version valid at each fact's date or instant.
 
-    ``derived`` has the same meaning as in ``lookup_join``.
+    A date counts as midnight UTC; validity is compared as instants whatever the size of the
+    dimension. ``strict`` makes the job that uses the result fail on a fact without a version, naming
+    the dimension and the id, also if the key itself is not used; otherwise such facts keep a null key.
+    Overlapping versions, which would multiply facts, are always refused.
     """
-    versions = dim.select(natural_key, surrogate_key, "valid_from", "valid_to")
-    stats = version_stats(versions, natural_key)
+    versions = dim.select(
+        F.col(natural_key).alias("_id"),
+        F.col(surrogate_key).alias("_key"),
+        F.col("valid_from").alias("_from"),
+        F.col("valid_to").alias("_to"),
+    )
+    stats = version_stats(dim.select(natural_key, surrogate_key, "valid_from", "valid_to"), natural_key)
     if stats.overlaps:
         raise ValueError(f"{stats.overlaps} versions overlap on {natural_key}: facts would fan out")
-    small = stats.bytes <= limits.broadcast_bytes and stats.most_per_key <= limits.versions_per_key
-    if derived and not small:
-        facts = written(facts)
-    lookup = _range_lookup if small else _as_of_lookup
-    found = lookup(facts, versions, natural_key, surrogate_key, date_column, limits)
-    if not strict:
-        return found
+    at = facts[date_column].cast("timestamp")
+    on = (facts[natural_key] == F.col("_id")) & valid_on(at, "_from", "_to")
+    if stats.bytes <= limits.broadcast_bytes:
+        joined = facts.join(F.broadcast(versions), on, "left")
+    else:
+        by_month = _by_month(versions, facts, date_column)
+        joined = facts.join(by_month, on & (F.trunc(facts[date_column], "month") == F.col("_month")), "left")
+    found = joined.withColumn(surrogate_key, F.col("_key")).select(*facts.columns, surrogate_key)
+    return _checked(found, natural_key, surrogate_key, date_column) if strict else found
+
+
+def _by_month(versions: DataFrame, facts: DataFrame, date_column: str) -> DataFrame:
+    """Each version once per month it covers of those that hold facts.
+
+    With the month in the join key a fact meets the versions of one month only, however many its
+    entity has had, and the busiest entity is spread over its months. The facts' first and last month
+    come from one pass over their date column alone.
+    """
+    ends = facts.agg(F.min(date_column).alias("a"), F.max(date_column).alias("b"))
+    first, last = ends.select(F.trunc("a", "month"), F.trunc("b", "month")).first()
+    if first is None:
+        return versions.limit(0).withColumn("_month", F.current_date())
+    first, last = F.lit(first), F.lit(last)
+    start = F.greatest(F.trunc(F.col("_from"), "month"), first)
+    end = F.least(F.coalesce(F.trunc(F.col("_to"), "month"), last), last)
+    covers = versions.filter(start <= end)
+    return covers.withColumn("_month", F.explode(F.sequence(start, end, F.expr("INTERVAL 1 MONTH"))))
+
+
+def _checked(found: DataFrame, natural_key: str, surrogate_key: str, date_column: str) -> DataFrame:
+    """The same rows. The check is a filter, which stays when the key column is pruned."""
     orphan = F.raise_error(
         F.concat(
             F.lit(f"integrity error: no {surrogate_key} for {natural_key} "),
-            F.coalesce(F.col(natural_key), F.lit("null")),
+            F.coalesce(F.col(natural_key).cast("string"), F.lit("null")),
             F.lit(" on "),
             F.coalesce(F.col(date_column).cast("string"), F.lit("null")),
         )
     )
-    checked = F.coalesce(F.col(surrogate_key), orphan.cast("bigint"))
-    return found.withColumn(surrogate_key, checked)
-
-
-def _range_lookup(facts, versions, natural_key, surrogate_key, date_column, limits):
-    """Hash join on the id with the interval as residual; facts are not shuffled."""
-    right = F.broadcast(versions.withColumnRenamed(natural_key, "_id"))  # measured
-    on = (facts[natural_key] == F.col("_id")) & valid_on(facts[date_column])
-    return facts.join(right, on, "left").drop("_id", "valid_from", "valid_to")
-
-
-def _as_of_lookup(facts, versions, natural_key, surrogate_key, date_column, limits):
-    """Sort versions and facts of an id on one time line and carry the last version on.
-
-    Each row is visited once, however many versions an id has. Facts are dates, so
-    only versions covering a midnight matter: an id has at most one per day, which
-    bounds what is repeated for a hot id.
-    """
-    by_day = versions.filter(F.col(natural_key).isNotNull()).select(
-        natural_key,
-        surrogate_key,
-        first_midnight(F.col("valid_from")).alias("_from"),
-        first_midnight(F.col("valid_to")).alias("_to"),
-    )
-    by_day = by_day.filter(F.col("_to").isNull() | (F.col("_from") < F.col("_to")))
-    facts_s, days_s = salted(facts, by_day, [natural_key], limits)
-    fact_type = facts.schema
-    key_type = T.StructType().add("key", T.LongType()).add("to", T.DateType())
-    points = facts_s.select(
-        natural_key,
-        "_salt",
-        F.col(date_column).alias("_at"),
-        F.lit(1).alias("_kind"),
-        F.struct(*[F.col(c) for c in facts.columns]).alias("_fact"),
-        F.lit(None).cast(key_type).alias("_version"),
-    ).unionByName(
-        days_s.select(
-            natural_key,
-            "_salt",
-            F.col("_from").alias("_at"),
-            F.lit(0).alias("_kind"),
-            F.lit(None).cast(fact_type).alias("_fact"),
-            F.struct(F.col(surrogate_key).alias("key"), F.col("_to").alias("to")).alias("_version"),
-        )
-    )
-    line = (
-        Window.partitionBy(natural_key, "_salt")
-        .orderBy("_at", "_kind")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    held = points.withColumn("_held", F.last("_version", ignorenulls=True).over(line))
-    valid = F.col("_held.to").isNull() | (F.col("_at") < F.col("_held.to"))
-    key = F.when(valid, F.col("_held.key")).alias(surrogate_key)
-    return held.filter("_kind = 1").select("_fact.*", key)
+    return found.filter(F.when(F.col(surrogate_key).isNull(), orphan.cast("boolean")).otherwise(F.lit(True)))
 
 
 def orphans(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tillhouse.functions.columns import EPOCH, fit, instant, starting_with, surrogate_key
 from tillhouse.functions.periods import valid_on
 from tillhouse.operators.dedupe import latest_per_key
+from tillhouse.operators.union import null_safe_join
 
 VALIDITY = ["is_current", "valid_from", "valid_to"]
 
@@ -76,7 +77,8 @@ def version_delta(
     also holds for an entity that goes back to an earlier state. With
     ``reopen_reverted`` changes are found against the current version instead, and the
     key is drawn from the state and its start, so such an entity gets a new version.
-    Entities missing from the batch are left alone.
+    Entities missing from the batch are left alone. A null natural key is an entity like any
+    other, so it too has one current version and an empty delta on replay.
     """
     if existing is None:
         return initial_versions(incoming, tracked, natural_key, key, algorithm, one_each)
@@ -91,7 +93,7 @@ def version_delta(
     if reopen_reverted:
         state = surrogate_key([natural_key, *tracked_columns(keyed, tracked)], algorithm)
         stored_state = current.select(natural_key, old, state.alias("_old_state"))
-        paired = keyed.withColumn("_state", state).join(stored_state, natural_key, "left")
+        paired = null_safe_join(keyed.withColumn("_state", state), stored_state, [natural_key], "left")
         paired = paired.filter(~F.col("_state").eqNullSafe(F.col("_old_state")))
         # A first version has the usual key; a later one also depends on its start.
         later = paired.withColumn("_start", start).withColumn(
@@ -100,8 +102,8 @@ def version_delta(
         first = F.col("_old").isNull()
         paired = later.withColumn(key, F.when(first, F.col(key)).otherwise(F.col("_later_key")))
     else:
-        fresh = keyed.join(existing.select(natural_key, key), [natural_key, key], "left_anti")
-        paired = fresh.join(current.select(natural_key, old), natural_key, "left")
+        fresh = null_safe_join(keyed, existing.select(natural_key, key), [natural_key, key], "left_anti")
+        paired = null_safe_join(fresh, current.select(natural_key, old), [natural_key], "left")
 
     # One pass writes both rows of a change: the new version and the expired old one.
     is_update = F.col("_old").isNotNull()

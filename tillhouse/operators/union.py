@@ -13,6 +13,13 @@ from tillhouse.functions.columns import fit
 from tillhouse.schemas import Columns
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on equally named keys, of which nulls match; the keys are kept once."""
+    named = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [left[k].eqNullSafe(named[f"_right_{k}"]) for k in keys])
+    return left.join(named, same, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def _plain(kind: T.DataType) -> bool:
     return not isinstance(kind, (T.StructType, T.ArrayType, T.MapType))
 
@@ -48,8 +55,8 @@ def to_declared(df: DataFrame, columns: Columns) -> DataFrame:
 def upserted(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows whose key is not in the source, plus all source rows.
 
-    The source must be unique on the keys (``dedupe.require_unique``). A null key never
-    matches, so such rows are inserted.
+    The source must be unique on the keys (``dedupe.require_unique``). A null key matches a
+    null key, so that applying a source twice changes nothing.
     """
-    kept = target.join(source.select(*keys), list(keys), "left_anti")
+    kept = null_safe_join(target, source.select(*keys), keys, "left_anti")
     return kept.unionByName(source, allowMissingColumns=True)

@@ -37,8 +37,8 @@ from tillhouse.streaming import ingest
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Nothing fits: every lookup takes its shuffled path and any key above 50 rows is hot.
-SHUFFLED = JoinLimits(broadcast_bytes=-1, hot_share=1e-3, hot_rows=50)
+# Nothing fits: every lookup takes its shuffled path.
+SHUFFLED = JoinLimits(broadcast_bytes=-1)
 
 
 def query(fn: Query) -> Query:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextvars
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,18 +41,43 @@ def local_session(cores: str = "*", **conf: str) -> SparkSession:
     return prepare(spark)
 
 
+#: The folder of the innermost ``scratch`` block this code runs in.
+_scope: contextvars.ContextVar[str | None] = contextvars.ContextVar("scratch", default=None)
+
+
+def _shared(spark: SparkSession) -> str:
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return shared.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
+    return tempfile.mkdtemp(prefix="tillhouse-")
+
+
 def work_dir(spark: SparkSession) -> str:
-    """A new folder under the one named by ``spark.checkpoint.dir``.
+    """A new folder under the one named by ``spark.checkpoint.dir``, or under the ``scratch`` block's own.
 
     Every executor must see it. Only a local master may fall back to a folder of
     this machine; a cluster without the setting is refused.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-        shared = tempfile.mkdtemp(prefix="tillhouse-")
-    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
+    return f"{_scope.get() or _shared(spark)}/{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Intermediate files of the block are removed at its end, also when it fails.
+
+    For blocks that store their results: a frame that still reads such files must not leave the block.
+    """
+    folder = work_dir(spark)
+    token = _scope.set(folder)
+    try:
+        yield folder
+    finally:
+        _scope.reset(token)
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def together(*steps: Callable[[], Any]) -> list[Any]:
@@ -60,7 +87,8 @@ def together(*steps: Callable[[], Any]) -> list[Any]:
     do not leave the other executors idle.
     """
     with ThreadPoolExecutor(max(1, len(steps))) as pool:
-        return [future.result() for future in [pool.submit(step) for step in steps]]
+        started = [pool.submit(contextvars.copy_context().run, step) for step in steps]
+        return [future.result() for future in started]
 
 
 def written(df: DataFrame, path: str | None = None) -> DataFrame:
