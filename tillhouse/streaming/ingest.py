@@ -69,17 +69,19 @@ def dimension_upsert(
     path: str,
     master: DataFrame | None = None,
     clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
+    **options,
 ) -> Callable[[DataFrame, int], None]:
     """A batch handler that keeps a silver dimension up to date.
 
     The delta depends only on the rows and on the stored dimension, and it is empty
-    for rows already applied, so a batch that is delivered twice changes nothing.
+    for rows already applied, so a batch that is delivered twice changes nothing. Options go to
+    ``version_delta``.
     """
     build = {"prod_dim": silver.prod_dim_delta, "site_dim": silver.site_dim_delta}[table]
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         existing = load_table(batch.sparkSession, path)
-        delta = build(batch, who, existing, master, clock())
+        delta = build(batch, who, existing, master, clock(), **options)
         upsert_table(delta, path, TABLE_KEYS[table], ["data_provider_code"])
 
     return handle
