@@ -121,26 +121,32 @@ def moving(column: str, size: int, volume: bool) -> str:
 
 # Raw layer and conformance
 
+def texts(*columns: str) -> str:
+    return ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in columns)
+
+
+LINEITEM = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus", "l_shipdate",
+]
 ORACLES["bronze_ingest"] = f"""
-SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_partkey AS VARCHAR) AS l_partkey,
-       CAST(l_suppkey AS VARCHAR) AS l_suppkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber, l_returnflag,
-       CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS l_quantity,
-       CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS date, {provenance(1001)}
+SELECT {texts(*LINEITEM)}, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS date, {provenance(1001)}
 FROM lineitem"""
 
-ORACLES["conform_fact"] = f"""
-WITH f AS ({SALES[1001]} FROM lineitem WHERE l_returnflag = 'A')
-SELECT time_period_end_date, prod_id, site_id, pos_sales_units, pos_sales_value_usd, {provenance(1001)} FROM f"""
 
-ORACLES["json_feed"] = f"""
-WITH f AS ({SALES[1001]} FROM lineitem WHERE l_returnflag = 'A')
-SELECT time_period_end_date, CAST(l_partkey AS VARCHAR) AS prod_id, CAST(l_suppkey AS VARCHAR) AS site_id,
-       pos_sales_units, pos_sales_value_usd, {provenance(1001)} FROM f"""
+def conformed(ids: str) -> str:
+    """All providers' facts by name; ``ids`` replaces the id columns."""
+    return "\nUNION ALL BY NAME\n".join(
+        f"""SELECT time_period_end_date, {ids}, {", ".join(MEASURES[p])},
+  {"extra_attributes" if p == 1003 else "CAST(NULL AS VARCHAR) AS extra_attributes"}, {provenance(p)}
+FROM ({SALES[p]} FROM lineitem WHERE l_returnflag = '{FLAGS[p]}')"""
+        for p in FLAGS
+    )
+
 
-ORACLES["delimited_feed"] = f"""
-WITH f AS ({SALES[1003]} FROM lineitem WHERE l_returnflag = 'R')
-SELECT time_period_end_date, CAST(l_partkey AS VARCHAR) AS prod_id, CAST(l_suppkey AS VARCHAR) AS site_id,
-       {", ".join(MEASURES[1003])}, extra_attributes, {provenance(1003)} FROM f"""
+ORACLES["conform_fact"] = conformed("prod_id, site_id")
+ORACLES["json_feed"] = conformed("CAST(l_partkey AS VARCHAR) AS prod_id, CAST(l_suppkey AS VARCHAR) AS site_id")
+ORACLES["delimited_feed"] = ORACLES["json_feed"]
 
 ORACLES["extra_attributes_json"] = """
 SELECT p_partkey AS product_id,
@@ -236,6 +242,7 @@ ORACLES["scd2_hash_key"] = f"SELECT p_partkey, {key('p_partkey', 'p_brand', 'p_n
 ORACLES["scd2_initial"] = f"WITH {PROD_SCD} SELECT * FROM pv1"
 ORACLES["scd2_delta"] = f"WITH {PROD_SCD} SELECT * FROM pd2"
 ORACLES["scd2_apply"] = f"WITH {PROD_SCD} SELECT * FROM pv3"
+ORACLES["dim_current_product"] = f"WITH {PROD_SCD} SELECT * FROM pv3 WHERE is_current"
 ORACLES["dim_current"] = f"WITH {SITE_SCD} SELECT * FROM sv3 WHERE is_current"
 ORACLES["dim_asof"] = f"""
 WITH {PROD_SCD} SELECT * FROM pv3
@@ -300,7 +307,7 @@ ORACLES["star_feed_files"] = """
 SELECT p_brand AS sector, n_name AS city, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS units
 FROM lineitem LEFT JOIN part ON p_partkey = l_partkey LEFT JOIN supplier ON s_suppkey = l_suppkey
      LEFT JOIN nation ON n_nationkey = s_nationkey
-WHERE l_returnflag = 'A' GROUP BY 1, 2"""
+GROUP BY 1, 2"""
 
 # Masks and roll-ups
 
@@ -546,22 +553,27 @@ WITH e AS ({ENRICHED_PRODUCT})
 SPARK_NAMES = {"BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date"}
 
 
-def _report() -> str:
-    n = "(SELECT CAST(count(*) AS BIGINT) FROM lineitem WHERE l_returnflag = 'A')"
+def _report(provider: int) -> str:
+    n = f"(SELECT CAST(count(*) AS BIGINT) FROM lineitem WHERE l_returnflag = '{FLAGS[provider]}')"
     present = {
         "time_period_end_date": "date", "prod_id": "string", "site_id": "string",
         "created_at_utc_datetime": "timestamp", "created_at_date": "date", "data_source": "string",
-        "data_provider_code": "string", "secure_group_key": "int", "pos_sales_value_usd": "double",
+        "data_provider_code": "string", "secure_group_key": "int",
     }
+    present |= {c: SPARK_NAMES[ALL_MEASURES[c]] for c in MEASURES[provider] if c != "pos_sales_units"}
     rows = [(c, t, t, "ok", n) for c, t in present.items()]
     rows += [(c, "bigint", None, "missing", "0") for c in ("prod_key", "site_key")]
-    rows.append(("pos_sales_units", "bigint", "int", "mismatch", n))
-    rows += [
-        (c, SPARK_NAMES[t], None, "absent", "0")
-        for c, t in (ALL_MEASURES | MASKS).items()
-        if c not in ("pos_sales_units", "pos_sales_value_usd")
-    ]
-    rows.append(("extra_attributes", "struct<>", None, "absent", "0"))
+    if "pos_sales_units" in MEASURES[provider]:
+        rows.append(("pos_sales_units", "bigint", "int", "mismatch", n))
+    rows += [(c, SPARK_NAMES[t], None, "absent", "0") for c, t in (ALL_MEASURES | MASKS).items() if c not in MEASURES[provider]]
+    if provider == 1003:
+        fields = [
+            "safety_stock_qty", "cycle_count_variance_qty", "inventory_accuracy_pct", "days_of_supply",
+            "shrinkage_qty", "reserved_qty_for_online", "backroom_qty",
+        ]
+        rows.append(("extra_attributes", "struct<>", f"struct<{','.join(f'{c}:string' for c in fields)}>", "ok", n))
+    else:
+        rows.append(("extra_attributes", "struct<>", None, "absent", "0"))
     rows.append(("note", None, "string", "unexpected", "0"))
 
     def text(value):
@@ -569,13 +581,13 @@ def _report() -> str:
 
     return "\nUNION ALL\n".join(
         f"SELECT '{c}' AS column_name, {text(e)} AS expected_type, {text(a)} AS actual_type, "
-        f"'{v}' AS verdict, CAST({count} AS BIGINT) AS non_null"
+        f"'{v}' AS verdict, CAST({count} AS BIGINT) AS non_null, CAST({provider} AS INTEGER) AS provider"
         for c, e, a, v, count in rows
     )
 
 
-ORACLES["schema_report"] = _report()
-ORACLES["stream_bronze"] = """
-SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, event_type, value, props,
+ORACLES["schema_report"] = "\nUNION ALL\n".join(_report(p) for p in FLAGS)
+ORACLES["stream_bronze"] = f"""
+SELECT {texts("event_id", "ts", "user_id", "event_type", "value", "props")}, TRUE AS ingested,
        CAST(110011 AS INTEGER) AS secure_group_key, 'cds_1001' AS data_provider_code, 'uploader' AS data_source
 FROM events"""

@@ -36,6 +36,7 @@ class Provider:
     site_extras: tuple[str, ...] = ()
     date_column: str = "date"
     partitioned_by_date: bool = False
+    json_lines: bool = False  # a JSON feed comes as lines, which can be split, not as one array per file
 
     @property
     def code(self) -> str:

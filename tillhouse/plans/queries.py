@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +25,7 @@ from tillhouse.operators.joins import (
 from tillhouse.operators.masking import apply_mask, reveal_by_age
 from tillhouse.operators.rollup import downsample
 from tillhouse.operators.scd2 import current_versions, initial_versions, snapshot, version_delta
-from tillhouse.operators.union import upserted
+from tillhouse.operators.union import relaxed_union, upserted
 from tillhouse.plans import silver
 from tillhouse.plans import standins as s
 from tillhouse.plans.providers import PROVIDERS, SALES_FEED
@@ -61,11 +61,7 @@ def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
 @query
 def bronze_ingest(spark, sf_dir):
     """All columns as text, plus security group, provider and ingestion columns."""
-    items = s.table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag",
-        F.col("l_quantity").cast("bigint").alias("l_quantity"),
-        F.to_date("l_shipdate").alias("date"),
-    )
+    items = s.table(spark, sf_dir, "lineitem").withColumn("date", F.to_date("l_shipdate"))
     return _text(silver.bronze(items, SALES_FEED, s.LOADED), "created_at_utc_datetime")
 
 
@@ -75,10 +71,15 @@ def _conformed(spark, sf_dir, provider_id):
     return with_global_ids(conform(raw, "store_fact", who.fact, who.fact_extras), "prod_id", "site_id")
 
 
+def _as_one(conformed: list[DataFrame]) -> DataFrame:
+    """The providers' conformed rows by name, attributes as text."""
+    return _text(relaxed_union([attributes_json(df) for df in conformed]), "created_at_utc_datetime")
+
+
 @query
 def conform_fact(spark, sf_dir):
-    """Text back to typed model columns, with global ids."""
-    return _text(_conformed(spark, sf_dir, 1001), "created_at_utc_datetime")
+    """All providers' text back to typed model columns, with global ids."""
+    return _as_one(together(*[partial(_conformed, spark, sf_dir, p) for p in PROVIDERS]))
 
 
 @query
@@ -91,24 +92,28 @@ def extra_attributes_json(spark, sf_dir):
     return attributes_json(rows)
 
 
+def _through_files(spark, sf_dir, fmt: str, **options) -> DataFrame:
+    """Every provider's feed written in a format, scanned and conformed."""
+
+    def one(who):
+        path = work_dir(spark)
+        feeds.write_feed(s.feed(spark, sf_dir, who.id), path, fmt)
+        raw = silver.bronze(feeds.read_feed(spark, path, fmt, **options), who, s.LOADED)
+        return conform(raw, "store_fact", who.fact, who.fact_extras)
+
+    return _as_one(together(*[partial(one, who) for who in PROVIDERS.values()]))
+
+
 @query
 def delimited_feed(spark, sf_dir):
-    """A pipe-delimited text feed, written and scanned, then conformed."""
-    path = work_dir(spark)
-    feeds.write_feed(s.feed(spark, sf_dir, 1003), path, "txt")
-    who = PROVIDERS[1003]
-    raw = silver.bronze(feeds.read_feed(spark, path, "txt"), who, s.LOADED)
-    rows = attributes_json(conform(raw, "store_fact", who.fact, who.fact_extras))
-    return _text(rows, "created_at_utc_datetime")
+    """Feeds as pipe-delimited text."""
+    return _through_files(spark, sf_dir, "txt")
 
 
 @query
 def json_feed(spark, sf_dir):
-    """A JSON feed, written as lines and scanned as text values, then conformed."""
-    path = work_dir(spark)
-    feeds.write_feed(s.feed(spark, sf_dir, 1001), path, "json")
-    raw = silver.bronze(feeds.read_feed(spark, path, "json", json_lines=True), SALES_FEED, s.LOADED)
-    return _text(conform(raw, "store_fact", SALES_FEED.fact), "created_at_utc_datetime")
+    """Feeds as lines of JSON, whose values are read as text."""
+    return _through_files(spark, sf_dir, "json", json_lines=True)
 
 
 # Distinct
@@ -222,6 +227,11 @@ def scd2_reopen(spark, sf_dir):
     return _versions(s.history(spark, sf_dir, s.product_batch, s.PRODUCT_SCD, reopen=True))
 
 
+@query
+def dim_current_product(spark, sf_dir):
+    return _versions(current_versions(s.history(spark, sf_dir, s.product_batch, s.PRODUCT_SCD)))
+
+
 @query
 def dim_current(spark, sf_dir):
     return _versions(current_versions(s.history(spark, sf_dir, s.site_batch, s.SITE_SCD)))
@@ -307,9 +317,9 @@ def star_feed_join_shuffled(spark, sf_dir):
 def star_feed_files(spark, sf_dir):
     """Product, store and sales files in CSV, read as one star feed and joined."""
     root = work_dir(spark)
-    sales = s.provider_sales(spark, sf_dir, 1001).select(
-        "date", F.col("store_id").alias("store"), F.col("product_id").alias("product"),
-        F.col("qty").alias("sales_qty"),
+    sales = s.table(spark, sf_dir, "lineitem").select(
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"), F.col("l_suppkey").alias("store"),
+        F.col("l_partkey").alias("product"), F.col("l_quantity").cast("bigint").alias("sales_qty"),
     )
     feeds.write_feed(s.products(spark, sf_dir).withColumnRenamed("product_id", "id"), f"{root}/p", "csv")
     feeds.write_feed(s.stores(spark, sf_dir).withColumnRenamed("store_id", "id"), f"{root}/s", "csv")
@@ -396,6 +406,8 @@ def schema_union_gold_fact(spark, sf_dir):
 
 
 def _gold_dim(spark, sf_dir, delta, build, corp):
+    corp = written(corp)  # one master for all providers
+
     def one(who):
         raw = silver.bronze(s.feed(spark, sf_dir, who.id), who, s.LOADED)
         return delta(raw, who, None, corp, s.LOADED, algorithm="md5")
@@ -417,7 +429,7 @@ def gold_site_dim(spark, sf_dir):
 
 
 def _silver_day(spark, sf_dir, who):
-    raw = silver.bronze(s.feed(spark, sf_dir, who.id), who, s.LOADED)
+    raw = written(silver.bronze(s.feed(spark, sf_dir, who.id), who, s.LOADED))  # read by three plans
     prod, site = together(
         lambda: written(silver.prod_dim_delta(raw, who, None, None, s.LOADED, algorithm="md5")),
         lambda: written(silver.site_dim_delta(raw, who, None, None, s.LOADED, algorithm="md5")),
@@ -495,10 +507,15 @@ def null_profile(spark, sf_dir):
 
 @query
 def schema_report(spark, sf_dir):
-    """The conformed facts against their declared columns, before version keys are added."""
-    rows = _conformed(spark, sf_dir, 1001).withColumn("pos_sales_units", F.col("pos_sales_units").cast("int"))
-    rows = rows.withColumn("note", F.lit(None).cast("string"))
-    return quality.schema_report(rows, STORE_FACT, STORE_FACT_REQUIRED)
+    """Each provider's conformed facts against their declared columns, before version keys are added."""
+
+    def one(provider_id):
+        rows = _conformed(spark, sf_dir, provider_id).withColumn("note", F.lit(None).cast("string"))
+        if "pos_sales_units" in rows.columns:
+            rows = rows.withColumn("pos_sales_units", F.col("pos_sales_units").cast("int"))
+        return quality.schema_report(rows, STORE_FACT, STORE_FACT_REQUIRED).withColumn("provider", F.lit(provider_id))
+
+    return reduce(DataFrame.unionByName, together(*[partial(one, p) for p in PROVIDERS]))
 
 
 @query
@@ -511,5 +528,5 @@ def stream_bronze(spark, sf_dir):
     rows = ingest.stream_bronze(stream, 1001, 110011, "uploader")
     ingest.append_stream(rows, f"{root}/bronze", f"{root}/checkpoint").awaitTermination()
     bronze = spark.read.schema(rows.schema).parquet(f"{root}/bronze")
-    kept = bronze.drop("created_at_utc_datetime", "created_at_date", "ts")
-    return kept.withColumn("value", F.col("value").cast("double"))
+    ingested = F.col("created_at_date") == F.to_date("created_at_utc_datetime")  # the time is that of the run
+    return bronze.withColumn("ingested", ingested).drop("created_at_utc_datetime", "created_at_date")

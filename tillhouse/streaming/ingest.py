@@ -20,7 +20,12 @@ from tillhouse.sources.tables import load_table, upsert_table
 
 
 def stream_feed(
-    spark: SparkSession, landing: str, fmt: str, schema: T.StructType, files_per_batch: int = 1000
+    spark: SparkSession,
+    landing: str,
+    fmt: str,
+    schema: T.StructType,
+    files_per_batch: int = 1000,
+    json_lines: bool = False,
 ) -> DataFrame:
     """New files of a landing directory; the checkpoint remembers which were read.
 
@@ -33,7 +38,7 @@ def stream_feed(
         reader = reader.option("enforceSchema", "false")
         return reader.csv(landing)
     if fmt == "json":
-        return reader.option("multiLine", "true").json(landing)
+        return reader.option("multiLine", str(not json_lines).lower()).json(landing)
     if fmt == "parquet":
         return reader.parquet(landing)
     raise ValueError(f"unsupported feed format {fmt!r}")
