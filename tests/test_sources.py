@@ -170,3 +170,28 @@ def test_upsert_of_nothing_changes_nothing(spark, tmp_path):
 
 def test_empty_frame(spark):
     assert empty(spark, {"a": STRING}).dtypes == [("a", "string")]
+
+
+def test_providers_write_one_table_side_by_side(spark, tmp_path):
+    from functools import partial
+
+    from tillhouse.session import together
+
+    path = str(tmp_path / "shared")
+
+    def load(code, run):
+        rows = spark.createDataFrame([(f"p{i}", f"r{run}", code) for i in range(20 * run, 20 * run + 30)], "id string, v string, code string")
+        tables.upsert_table(rows, path, ["code", "id"], ["code"])
+
+    for run in range(3):
+        together(*[partial(load, code, run) for code in ("a", "b", "c", None)])
+    got = {(r["code"], r["id"]): r["v"] for r in tables.load_table(spark, path).collect()}
+    assert got == {(c, f"p{i}"): f"r{min(2, i // 20)}" for c in ("a", "b", "c", None) for i in range(70)}
+
+
+def test_scratch_files_are_removed(spark):
+    from tillhouse.session import exists, scratch, written
+
+    with scratch(spark) as folder:
+        assert written(spark.range(3)).count() == 3 and exists(spark, folder)
+    assert not exists(spark, folder)

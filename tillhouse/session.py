@@ -75,9 +75,19 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _scope.reset(token)
-        jvm = spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        store, path = _store(spark, folder)
+        store.delete(path, True)
+
+
+def _store(spark: SparkSession, location: str):
+    """The file system of a location, and the location in it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def exists(spark: SparkSession, location: str) -> bool:
+    store, path = _store(spark, location)
+    return store.exists(path)
 
 
 def together(*steps: Callable[[], Any]) -> list[Any]:
