@@ -263,3 +263,26 @@ def test_stream_keeps_a_dimension_up_to_date(spark, tmp_path):
     assert changed.count() == feed_files.PRODUCTS + 1
     before = rows(changed)
     assert rows(pump("fresh")) == before, "delivering the files again changes nothing"
+
+
+def test_a_change_of_security_group_within_a_week_runs_on(spark, tmp_path):
+    """2024-01-21 is a Sunday: the second delivery, under another group, falls into the week of 15 January too."""
+    house = Lakehouse(spark, str(tmp_path / "lake"))
+    house.run(SALES_FEED, feed_files.daily_sales(tmp_path / "one", 0, 17), FIRST)
+    moved = replace(SALES_FEED, secure_group_key=110099)
+    house.run(moved, feed_files.daily_sales(tmp_path / "two", 17, 30), SECOND)
+    house.run(moved, feed_files.daily_sales(tmp_path / "three", 30, 32), SECOND + timedelta(days=1))
+    weeks = house.table("gold", "week_fact")
+    assert weeks.select(*FACT_KEYS).distinct().count() == weeks.count()
+    groups = {str(r["time_period_end_date"]): r["secure_group_key"] for r in weeks.collect()}
+    assert groups["2024-01-15"] == 110011 and groups["2024-01-22"] == 110099
+    assert house.table("silver", "runs", SALES_FEED).count() == 3
+
+
+def test_rows_without_a_date_reach_bronze_once(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    spark.createDataFrame([("2024-01-01", 1), (None, 2)], "date string, product_id int").write.parquet(landing)
+    house = Lakehouse(spark, str(tmp_path / "lake"))
+    assert house.ingest_new_partitions(SALES_FEED, landing, FIRST).count() == 2
+    assert house.table("bronze", "day_fact", SALES_FEED).count() == 2
+    assert house.ingest_new_partitions(SALES_FEED, landing, SECOND).isEmpty()
