@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillhouse.llm.text import slices
-from tillhouse.session import work_dir, written
+from tillhouse.session import work_dir
 
 #: The field names of the two versions' header lines.
 FIELDS = {
@@ -31,7 +31,7 @@ FIELDS = {
 #: Bytes of bodies after which a new archive is begun.
 ARCHIVE = 4 << 20
 #: Records in one written file at most.
-FILE_RECORDS = 4096
+FILE_RECORDS = 1024
 #: Revisits are made of payloads of at least so many bytes.
 REVISIT_FROM = 0
 ORIGIN = "Tillhouse"
@@ -181,7 +181,7 @@ RECORDS = (
 )
 
 
-def convert_record(record: ArcRecord, name: str) -> dict:
+def convert_record(record: ArcRecord, name: str, members: bool = True) -> dict:
     """The WARC record that says the same, with an id that follows from what is archived.
 
     A file's description becomes ``warcinfo``, an HTTP response ``response``, anything else ``resource``.
@@ -195,9 +195,9 @@ def convert_record(record: ArcRecord, name: str) -> dict:
         kind, content_type = ("response", "application/http; msgtype=response") if head else ("resource", f["Content-type"])
     digest, page = sha1(payload), http_field(head, PAGE_FIELD)
     record_id = f"<{uuid.uuid5(uuid.NAMESPACE_URL, f'{uri} {date} {page} {digest}').urn}>"
-    fields = [("WARC-Type", kind), ("WARC-Record-ID", record_id), ("WARC-Date", date), ("WARC-Block-Digest", f"sha1:{sha1(head + payload)}"), ("Content-Type", content_type)]
-    if kind != "warcinfo":
-        fields[3:3] = [("WARC-Target-URI", uri), ("WARC-IP-Address", f["IP-address"]), ("WARC-Payload-Digest", f"sha1:{digest}")]
+    whole = None
+    if members:
+        whole = member(_as_warc(kind, record_id, date, uri, f["IP-address"], digest, content_type, head + payload))
     return {
         "kind": kind,
         "record_id": record_id,
@@ -208,25 +208,32 @@ def convert_record(record: ArcRecord, name: str) -> dict:
         "head": head,
         "payload_bytes": len(payload),
         "payload_digest": digest,
-        "member": member(warc_bytes(fields, head + payload)),
+        "member": whole,
     }
 
 
+def _as_warc(kind: str, record_id: str, date: str, uri: str, ip: str, digest: str, content_type: str, block: bytes) -> bytes:
+    fields = [("WARC-Type", kind), ("WARC-Record-ID", record_id), ("WARC-Date", date), ("WARC-Block-Digest", f"sha1:{sha1(block)}"), ("Content-Type", content_type)]
+    if kind != "warcinfo":
+        fields[3:3] = [("WARC-Target-URI", uri), ("WARC-IP-Address", ip), ("WARC-Payload-Digest", f"sha1:{digest}")]
+    return warc_bytes(fields, block)
+
+
 def _record_batch(rows: list[dict]) -> pa.RecordBatch:
     kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
     spec = [c.split() for c in RECORDS.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], kinds[k]) for n, k in spec], [n for n, _ in spec])
 
 
-def convert(archives: DataFrame) -> DataFrame:
-    """WARC records of ARC archives (``name``, ``content``); ``member`` is the whole record, compressed."""
+def convert(archives: DataFrame, members: bool = True) -> DataFrame:
+    """WARC records of ARC archives (``name``, ``content``); ``member`` is the whole record, compressed, or null."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
             name, content = batch.column("name")[0].as_py(), batch.column("content")[0].as_py()
             rows: list[dict] = []
             for record in parse_arc(content or b"") if content else ():
-                rows.append(convert_record(record, name))
+                rows.append(convert_record(record, name, members))
                 if len(rows) >= 256:
                     yield _record_batch(rows)
                     rows = []
@@ -239,15 +246,16 @@ def convert(archives: DataFrame) -> DataFrame:
 # ---- WARC ----
 
 
-def mark_revisits(records: DataFrame, revisit_from: int = REVISIT_FROM) -> DataFrame:
+def mark_revisits(records: DataFrame, revisit_from: int = REVISIT_FROM, slim: DataFrame | None = None) -> DataFrame:
     """Adds ``first``: of responses with one payload, the record of the smallest page id, null for that record itself.
 
     Payloads are compared by digest and length. The smallest id is found by a pre-aggregated minimum, and
     the join's other side has one row per payload, so a payload that many pages share can be split freely.
+    ``slim`` may give the same records without their members, to find the firsts from.
     """
     large = (F.col("kind") == "response") & (F.col("payload_bytes") >= revisit_from)
     firsts = (
-        records.filter(large & F.col("page_id").isNotNull())
+        (records if slim is None else slim).filter(large & F.col("page_id").isNotNull())
         .groupBy("payload_digest", "payload_bytes")
         .agg(F.min(F.struct("page_id", "record_id", "uri", "date")).alias("first"))
     )
@@ -358,11 +366,11 @@ def archive_pages(pages: DataFrame, revisit_from: int = REVISIT_FROM, path: str
 
     Needs ``page_id``, ``url`` and ``html``. A null html is an empty payload, a null url gets a placeholder. A page
     without an id is never what others refer to. Rows that repeat the smallest id of a payload are responses
-    like it. An empty table writes no records and gives no rows. Of the pages' content, one compressed
-    copy is stored in between and one is shuffled.
+    like it. An empty table writes no records and gives no rows. Pages are converted twice, once for the digests
+    alone, which costs less than a stored copy; one compressed copy is shuffled, one written.
     """
     spark = pages.sparkSession
     path = path or work_dir(spark)
-    records = written(convert(to_arc(pages)))
-    write_warc(mark_revisits(records, revisit_from), path)
+    archives = to_arc(pages)
+    write_warc(mark_revisits(convert(archives), revisit_from, convert(archives, members=False)), path)
     return read_warc(spark, path)
