@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillhouse.llm.text import fold, map_texts, slices
+from tillhouse.llm.text import fold, freed, map_texts, slices
 
 #: Hash space of the words.
 BUCKETS = 1 << 15
@@ -36,7 +36,7 @@ SEED = 7
 #: From this score on a document counts as good.
 GOOD = 0.3
 #: Entries of a worker's cache of words; it is emptied when full.
-CACHE = 400_000
+CACHE = 150_000
 STATISTICS = (
     "log words", "letters per word", "capitals", "digits", "marks", "marked words", "bare marks", "distinct words",
     "commonest word", "same as the word before", "distinct lines", "words per line", "log declared length",
@@ -224,4 +224,4 @@ def keep_good(docs: DataFrame, machine: Machine) -> DataFrame:
             scores = machine.scores([features((t or "").encode(), n) for t, n in zip(texts, declared, strict=True)])
             yield batch.filter(pa.array(scores >= GOOD))
 
-    return docs.mapInArrow(each, docs.schema)
+    return docs.mapInArrow(lambda it: freed(each(it)), docs.schema)

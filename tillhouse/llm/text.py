@@ -23,6 +23,12 @@ def fold(doc_id: str = "doc_id", folds: int = 5) -> Column:
     return F.crc32(F.col(doc_id).cast("string")) % folds
 
 
+def freed(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows; afterwards Arrow gives back the memory it holds for later, which a worker would keep between tasks."""
+    yield from rows
+    pa.default_memory_pool().release_unused()
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``rows``."""
     for batch in batches:
@@ -36,7 +42,7 @@ def map_texts(docs: DataFrame, columns: list[str], schema: str, each: Callable[[
     Text travels as UTF-8 bytes; ``each`` gets batches of at most ``SLICE`` rows.
     """
     picked = [F.col(c).cast("binary") if docs.schema[c].dataType.typeName() == "string" else F.col(c) for c in columns]
-    return docs.select(*[c.alias(n) for c, n in zip(picked, columns, strict=True)]).mapInArrow(lambda it: each(slices(it)), schema)
+    return docs.select(*[c.alias(n) for c, n in zip(picked, columns, strict=True)]).mapInArrow(lambda it: freed(each(slices(it))), schema)
 
 
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
@@ -53,4 +59,4 @@ def keep_rows(docs: DataFrame, text: str, verdict: Callable[[], Callable[[list[b
             kept = passes([(x or "").encode() for x in batch.column(text).to_pylist()])
             yield batch.filter(pa.array(kept, pa.bool_()))
 
-    return docs.mapInArrow(each, docs.schema)
+    return docs.mapInArrow(lambda it: freed(each(it)), docs.schema)
