@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache, reduce
+from typing import TYPE_CHECKING
 
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -23,6 +24,9 @@ from pyspark.sql import functions as F
 from tillhouse.llm.text import map_texts, texts_of
 from tillhouse.session import written
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 CAPACITY = 4096
 VOCABULARY = "word_bpe_49k.json"
 #: The id that ends every document.
@@ -66,9 +70,7 @@ class Words:
     def learn(self, words: set[bytes]) -> None:
         """Bring the words into the fresh cache."""
         missing, split = set(), []
-        for word in words:
-            if word in self.fresh:
-                continue
+        for word in words.difference(self.fresh):
             if (found := self.older.get(word)) is not None:
                 self.fresh[word] = found
                 continue
@@ -81,10 +83,14 @@ class Words:
         order = list(missing)
         encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in order], add_special_tokens=False)
         for word, e in zip(order, encoded, strict=True):
-            self.fresh[word] = b"".join([i.to_bytes(4, "little") for i in e.ids])
+            self.fresh[word] = array("I", e.ids).tobytes()
         for word, stem, marks in split:
             self.fresh[word] = self.fresh[stem] + self.fresh[marks]
 
+    def forget(self) -> None:
+        """Let the older cache go: a worker lives on after its task, beside other stages' memory."""
+        self.older = {}
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
         if len(self.fresh) >= CACHE:
@@ -145,6 +151,8 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -
             columns = zip(*rows, strict=True) if rows else [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], PIECE_COLUMNS)
 
+        words.forget()
+
     return map_texts(docs, ["doc_id", "text"], PIECES, each)
 
 
