@@ -1,0 +1,88 @@
+from __future__ import annotations
+
+import random
+from itertools import combinations
+
+import corpus_pipeline
+from material import ODD, documents
+from tillhouse.llm import golay, resemblance
+
+
+def plain_sets(texts):
+    words = [(t or "").encode().lower().split() for t in texts]
+    return [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)} for w in words]
+
+
+def plain_links(texts):
+    sets = plain_sets(texts)
+    return {(i, k) for (i, a), (k, b) in combinations(enumerate(sets), 2) if min(len(a), len(b)) >= 0.8 * max(len(a), len(b)) and 5 * len(a & b) >= 4 * len(a | b)}
+
+
+def plain_keep(texts):
+    """Indices of the first text of each group."""
+    head = list(range(len(texts)))
+    links = plain_links(texts)
+    for _ in texts:
+        before = list(head)
+        for i, k in links:
+            head[i] = head[k] = min(head[i], head[k])
+        if head == before:
+            break
+    return [i for i, h in enumerate(head) if i == h]
+
+
+def kept(spark, docs):
+    return sorted(r.doc_id for r in dict(corpus_pipeline.STAGES)["simhash_dedup"](spark, docs, "").collect())
+
+
+def prose(rng, n):
+    return [f"w{rng.randrange(3000)}" for _ in range(n)]
+
+
+def test_near_copies_beyond_three_bits_go(spark, docs_of):
+    rng = random.Random(3)
+    texts = []
+    for _ in range(20):
+        own = prose(rng, 200)
+        copy = list(own)
+        for at in (20, 70, 120):
+            copy[at] = "changed"
+        texts += [" ".join(own), " ".join(copy)]
+    far = [(golay.fingerprint(a.encode()) ^ golay.fingerprint(b.encode())).bit_count() > 3 for a, b in zip(texts[::2], texts[1::2], strict=True)]
+    assert any(far)
+    assert kept(spark, docs_of(texts)) == list(range(0, 40, 2))
+
+
+def test_stage_equals_brute_force(spark, sf, docs_of):
+    rng = random.Random(8)
+    texts = [t for _, t in documents(sf)] + ODD
+    for n in (30, 60, 200):
+        own = prose(rng, n)
+        for changes in range(8):
+            copy = list(own)
+            for at in rng.sample(range(n), changes):
+                copy[at] = f"c{at}"
+            texts.append(" ".join(copy))
+    assert kept(spark, docs_of(texts)) == plain_keep(texts)
+
+
+def test_crowds_of_near_copies_are_one_group(docs_of):
+    rng = random.Random(4)
+    own, texts = prose(rng, 300), []
+    for i in range(120):
+        copy = list(own)
+        copy[rng.randrange(300)] = f"c{i}"
+        texts.append(" ".join(copy))
+    line = "this line is in every text of the crowd whatever else they hold "
+    texts += [line + " ".join(prose(rng, 80)) for _ in range(100)]
+    got = sorted(r.doc_id for r in resemblance.keep_one(docs_of(texts), crowd=10).collect())
+    assert got == plain_keep(texts) == [0, *range(120, 220)]
+
+
+def test_columns_null_ids_and_empty_table(docs_of):
+    long = " ".join(f"w{i}" for i in range(400))
+    docs = docs_of([long, long, long + " end", "something else entirely here", None, "", long], [5, 2, None, 7, 8, 4, 2], __x=list("abcdefg"))
+    got = resemblance.keep_one(docs)
+    assert got.schema == docs.schema
+    assert sorted(r.doc_id for r in got.collect()) == [2, 4, 7]
+    assert resemblance.keep_one(docs_of([])).collect() == []
