@@ -35,3 +35,17 @@ def test_the_limits_are_the_fences_of_all_documents(spark):
 
 def test_measured_from_nothing_changes_nothing(docs_of):
     assert compression.measured(docs_of([])) == compression.Bands()
+
+
+def test_the_end_of_a_text_is_judged(spark):
+    import zstandard
+
+    squeeze, bands = zstandard.ZstdCompressor(level=3), compression.Bands()
+    row = spark.read.parquet(f"{SF}/documents.parquet").join(spark.read.parquet(f"{SF}/labels.parquet").filter("quality = 1"), "doc_id").filter("length(text) > 4100").orderBy("doc_id").first()
+    prose = row.text.encode()[:2100]
+    noise = bytes(range(33, 253)) * 9
+    text = prose + noise[: 4000 - len(prose)]
+    assert len(text) == 4000
+    assert compression.in_bands(text, bands, squeeze)[2] == 0.5
+    for size, chunks in ((2047, 0), (2048, 1), (2049, 2), (4096, 2), (4097, 3)):
+        assert len(compression.ratios(b"x" * size, bands, squeeze)[1]) == chunks

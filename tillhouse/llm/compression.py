@@ -30,8 +30,8 @@ class Bands:
     10,000. The limits are ``FENCE`` times the distance of the quartiles below the lower and above the upper one, as
     ``measured`` gives them for all documents of sf0.1 that pass the base rules, labels not read; texts under 256 bytes,
     of which there are none there, have wide limits.
-    A chunk is ``chunk`` bytes; a document fails when more than ``bad_chunks`` of its whole chunks lie
-    outside the chunk limits. Texts under ``shortest`` bytes are left to the base rules.
+    A chunk is ``chunk`` bytes; a document fails when more than ``bad_chunks`` of its chunks, which cover every byte of
+    a text of at least one chunk, lie outside the chunk limits. Texts under ``shortest`` bytes are left to the base rules.
     """
 
     level: int = 3
@@ -98,10 +98,11 @@ _FIRST_BYTES = bytes(b for b in range(256) if b & 0xC0 != 0x80)
 
 
 def ratios(text: bytes, bands: Bands, squeeze: zstandard.ZstdCompressor) -> tuple[float, list[float]]:
-    """The ratio of the whole text and of each whole chunk; the last chunk counts only if it is full."""
+    """The ratio of the whole text and of each chunk. The last chunk ends with the text, over the one before if need be."""
     whole = len(squeeze.compress(text)) / len(text) if text else 1.0
     last = len(text) - bands.chunk
-    return whole, [len(squeeze.compress(text[i : i + bands.chunk])) / bands.chunk for i in range(0, last + 1, bands.chunk)]
+    starts = [*range(0, last, bands.chunk), last] if last >= 0 else []
+    return whole, [len(squeeze.compress(text[i : i + bands.chunk])) / bands.chunk for i in starts]
 
 
 def in_bands(text: bytes, bands: Bands, squeeze: zstandard.ZstdCompressor) -> tuple[bool, float, float]:
