@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import compression, factorisation, linededup, packing, resemblance
+from tillhouse.llm import compression, factorisation, golay, linededup, packing
 from tillhouse.llm.text import table
 from tillhouse.session import written
 
@@ -29,8 +29,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five-word shingles of similarity 0.8 or more link."""
-    return resemblance.keep_one(docs)
+    """One document of each group of near-duplicates: fingerprints of three-word shingles at most three bits apart link."""
+    return golay.keep_one(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
