@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillhouse.llm import alignment, arc, bitslice, bpe, chat, compression, factorisation, golay, language_model, linededup, packing
+from tillhouse.llm import alignment, arc, bitslice, bpe, chat, compression, factorisation, golay, language_model, linededup, packing, simhash
 from tillhouse.llm.text import table
 
 
@@ -53,6 +53,10 @@ def op10_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
 
+def op11_simhash_block_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.report(table(spark, sf_dir, "documents"))
+
+
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.report(table(spark, sf_dir, "documents"))
 
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_legacy_archives,
         op9_byte_pairs,
         op10_perspective_rotation,
+        op11_simhash_block_tables,
         op13_tokenizer_alignment,
     )
 }
