@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillhouse.llm import alignment, arc, bitslice, bpe, chat, compression, factorisation, golay, language_model, linededup, packing, simhash
+from tillhouse.llm import alignment, arc, bitslice, bpe, chat, compression, dialogue, factorisation, golay, language_model, linededup, packing, simhash
 from tillhouse.llm.text import table
 
 
@@ -57,6 +57,10 @@ def op11_simhash_block_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(table(spark, sf_dir, "documents"))
 
 
+def op12_four_russians_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue.report(table(spark, sf_dir, "conversations"))
+
+
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.report(table(spark, sf_dir, "documents"))
 
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_byte_pairs,
         op10_perspective_rotation,
         op11_simhash_block_tables,
+        op12_four_russians_repair,
         op13_tokenizer_alignment,
     )
 }
