@@ -75,8 +75,7 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _scope.reset(token)
-        store, path = _store(spark, folder)
-        store.delete(path, True)
+        remove(spark, folder)
 
 
 def _store(spark: SparkSession, location: str):
@@ -90,6 +89,17 @@ def exists(spark: SparkSession, location: str) -> bool:
     return store.exists(path)
 
 
+def folders(spark: SparkSession, location: str) -> list[str]:
+    """Names of what lies in a folder, in order; nothing if there is no such folder."""
+    store, path = _store(spark, location)
+    return sorted(found.getPath().getName() for found in store.listStatus(path)) if store.exists(path) else []
+
+
+def remove(spark: SparkSession, location: str) -> None:
+    store, path = _store(spark, location)
+    store.delete(path, True)
+
+
 def together(*steps: Callable[[], Any]) -> list[Any]:
     """Run independent steps at the same time and return their results in order.
 

@@ -1,4 +1,4 @@
-"""Files as a stream: bronze append, and silver dimensions kept up per micro-batch."""
+"""Files as a stream: bronze append, and silver dimensions and facts kept up per micro-batch."""
 
 from __future__ import annotations
 
@@ -13,8 +13,10 @@ from pyspark.sql.streaming import StreamingQuery
 from tillhouse.operators.bronze import strings_only, with_provider, with_security
 from tillhouse.operators.dedupe import INGESTED
 from tillhouse.plans import silver
+from tillhouse.plans.lakehouse import Lakehouse
 from tillhouse.plans.providers import Provider
 from tillhouse.schemas import TABLE_KEYS
+from tillhouse.session import scratch, written
 from tillhouse.sources.feeds import DELIMITERS
 from tillhouse.sources.tables import load_table, upsert_table
 
@@ -90,3 +92,29 @@ def dimension_upsert(
         upsert_table(delta, path, TABLE_KEYS[table], ["data_provider_code"])
 
     return handle
+
+
+def fact_upsert(
+    lake: Lakehouse,
+    who: Provider,
+    clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
+    **options,
+) -> Callable[[DataFrame, int], None]:
+    """A batch handler that keeps a provider's dimensions, day, week and month facts up to date.
+
+    Between batches there is no state but the stored tables: a batch reads its own rows, the versions of the
+    dimensions, the last rows of its series and the sums of its groups. One that fails half-way is finished ahead of the
+    next, and one that is delivered twice changes nothing. Options go to ``version_delta``.
+    """
+    deltas = {"prod_dim": silver.prod_dim_delta, "site_dim": silver.site_dim_delta}
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark, now = batch.sparkSession, clock()
+        with scratch(spark):
+            rows = written(batch)
+            for name, build in deltas.items():
+                lake.store(build(rows, who, lake.table("silver", name, who), None, now, lake.limits, **options), name, who)
+            dims = [lake.table("silver", name, who) for name in deltas]
+            lake.apply_days(who, silver.keyed_days(rows, who, *dims, lake.limits), now)
+
+    return handle
