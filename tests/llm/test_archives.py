@@ -40,6 +40,11 @@ def test_query_equals_brute_force(spark, sf):
     assert rows(QUERIES["op8_legacy_archives"](spark, sf)) == plain(pages)
 
 
+def test_small_tables_meet_both_versions(spark, sf):
+    archives = arc.to_arc(spark.read.parquet(f"{sf}/pages.parquet")).collect()
+    assert {next(arc.parse_arc(a.content)).version for a in archives} == {1, 2}
+
+
 def test_odd_pages(spark):
     tricky = "HTTP/1.1 200 OK\r\nX-Page-Id: 99\r\n\r\nhttp://a 1.1.1.1 20000101000000 text/html 5\nWARC/1.0\r\nWARC-Type: response\r\n\r\n"
     pages = [(5, "same"), (3, "same"), (9, "same"), (None, "same"), (7, None), (8, ""), (1, tricky), (2, "é中😀" * 70_000), (None, "alone"), (4, "\n\n"), (6, "\r\n\r\n"), (3, "same")]

@@ -65,3 +65,15 @@ def test_odd_texts_stage_and_empty_tables(spark, docs_of, learned):
     assert fm.score(docs_of([]), learned).collect() == [] == fm.keep_good(docs_of([]), learned).collect()
     blank = fm.learn(docs, spark.createDataFrame([], "doc_id long, quality int, toxic int"))
     assert {r.score for r in fm.score(docs, blank).collect()} == {0.5}
+
+
+def test_repeated_ids_and_long_texts_are_one_row_each_of_the_sample(spark, docs_of):
+    long = "very long " * 30_000  # over 200,000 characters
+    texts = [f"text number {i}" for i in range(40)] + [long] + [f"copy {k} of one id" for k in range(200)]
+    docs = docs_of(texts, [*range(40), 77, *[5] * 200])
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in [*range(40), 77]], "doc_id long, quality int, toxic int")
+    got = fm.sample(docs, labels).collect()
+    assert sorted(r.doc_id for r in got) == sorted(i for i in [*range(40), 77] if zlib.crc32(str(i).encode()) % 5)
+    assert any(r.text == long for r in got) == bool(zlib.crc32(b"77") % 5)
+    one, two = fm.learn(docs, labels), fm.learn(docs.repartition(7), labels)
+    assert np.array_equal(one.weight, two.weight) and np.array_equal(one.vectors, two.vectors)

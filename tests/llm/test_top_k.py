@@ -60,3 +60,8 @@ def test_repeated_queries_and_empty_table(spark):
     rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.5, 0.5])]
     assert run(spark, rows, {0}) == [(0, 1, 1, 256 * 128), (0, 2, 2, 256 * 128)]
     assert run(spark, [], {0}) == []
+
+
+def test_a_query_id_with_a_usable_and_an_unusable_row(spark):
+    rows = [(50, [None, 5.0]), (50, [0.5, 1.0]), (50, [float("nan"), 0.0]), (50, None), (1, [1.0, 1.0]), (2, [0.0, 2.0])]
+    assert run(spark, rows, {50}) == plain(rows, {50}) != []

@@ -13,6 +13,7 @@ import gzip
 import hashlib
 import io
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,7 +30,7 @@ FIELDS = {
     2: ["URL", "IP-address", "Archive-date", "Content-type", "Result-code", "Checksum", "Location", "Offset", "Filename", "Archive-length"],
 }
 #: Bytes of bodies after which a new archive is begun.
-ARCHIVE = 4 << 20
+ARCHIVE = 128 << 10
 #: Records in one written file at most.
 FILE_RECORDS = 1024
 #: Revisits are made of payloads of at least so many bytes.
@@ -82,13 +83,13 @@ def arc_url(url: str | None) -> str:
 
 
 def to_arc(pages: DataFrame, date: str = "20010101000000") -> DataFrame:
-    """ARC archives (``name``, ``content``) of the rows' ``page_id``, ``url`` and ``html``, in either version by turns."""
+    """ARC archives (``name``, ``content``) of the rows' ``page_id``, ``url`` and ``html``; a hash of its first record tells an archive's version."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, size = 0, [], 0
 
         def flush() -> pa.RecordBatch:
-            version = 1 + number % 2
+            version = 1 + (zlib.crc32(held[0][4]) >> 8) % 2
             name = f"pages-{number}-v{version}.arc"
             return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([arc_file(version, name, held)], pa.binary())], ["name", "content"])
 

@@ -188,13 +188,19 @@ def blocks(vectors: DataFrame, rows: int) -> DataFrame:
     return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(each, "part long, width int, ids binary, vals binary")
 
 
+def usable(vectors: DataFrame) -> DataFrame:
+    """The rows that have an id and a vector of finite components."""
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x) < float("inf")))
+    return vectors.filter(F.col("vec_id").isNotNull() & F.coalesce(finite, F.lit(False)))
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = BLOCK) -> DataFrame:
     """For each row of ``queries`` the ``k`` rows of ``vectors`` with the highest integer inner product.
 
     Both need ``vec_id`` and ``embedding``. Rows whose vector is null or has a null or non-finite component,
     and rows without an id, take no part. A row isn't compared with rows of its own id; ties go to the
     smaller id; candidates that repeat an id are ranked each, queries that repeat one are asked once (with the
-    smallest vector). An empty table gives no rows.
+    smallest of its usable vectors). An empty table gives no rows.
 
     Both sides are cut into blocks. Blocks are dealt into at most ``LANES`` lanes, each batch of queries is
     sent to every lane once, and a pair of blocks leaves at most k rows per query, so neither a hot vector nor
@@ -203,7 +209,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = BLOCK
     index = written(blocks(vectors, block))
     lanes = min(LANES, max(1, index.count()))
     dealt = index.withColumn("lane", F.pmod(F.xxhash64("ids"), F.lit(lanes)).cast("int"))
-    once = queries.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    once = usable(queries).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     asked = blocks(once, QUERIES).select(F.col("width").alias("q_width"), F.col("ids").alias("q_ids"), F.col("vals").alias("q_vals"))
     asked = asked.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
 
@@ -222,7 +228,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = BLOCK
                 columns = zip(*out, strict=True) if out else [[]] * 3
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
 
-    found = dealt.join(asked, "lane").select("width", "ids", "vals", "q_width", "q_ids", "q_vals").mapInArrow(each, "query_id long, vec_id long, score long")
+    pairs = dealt.repartition(lanes, "lane").join(asked.repartition(lanes, "lane"), "lane")  # so many that none are put together
+    found = pairs.select("width", "ids", "vals", "q_width", "q_ids", "q_vals").mapInArrow(each, "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillhouse.llm.text import fold, freed, map_texts, slices
@@ -25,8 +25,6 @@ BUCKETS = 1 << 15
 FACTORS = 8
 #: Labelled documents the machine is fitted on at most.
 SAMPLE = 6000
-#: Longer documents are not part of the sample (they are scored like any other).
-SAMPLE_CHARS = 200_000
 #: Gradient steps, documents in each, and their size.
 STEPS = 2000
 BATCH = 64
@@ -162,13 +160,16 @@ def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """At most ``SAMPLE`` labelled documents for learning: ``text``, ``n_chars``, ``quality``.
 
     Labels count if id and quality are there and the id is not held out; of several for an id the lowest holds. The
-    sample is the documents of smallest hash, chosen among the labels before any text is read.
+    sample is the documents of smallest hash, chosen among the labels before any text is read; of several rows of an id
+    that with the smallest text hash counts. Texts of any length are learned from whole.
     """
     usable = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & (fold() != 0))
     one = usable.groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen = one.orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(SAMPLE).withColumnRenamed("doc_id", "id")
-    texts = docs.select("doc_id", "text", F.col("n_chars").cast("long").alias("n_chars")).filter(F.coalesce(F.length("text"), F.lit(0)) <= SAMPLE_CHARS)
-    return texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("doc_id", "text", "n_chars", "quality")
+    texts = docs.select("doc_id", "text", F.col("n_chars").cast("long").alias("n_chars"))
+    rows = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("doc_id", "text", "n_chars", "quality")
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.hash("text"), "n_chars"))
+    return rows.withColumn("_first", first).filter("_first = 1").drop("_first")
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Machine:
@@ -191,7 +192,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Machine:
 
     chosen = sample(docs, labels).select("doc_id", F.col("text").cast("binary").alias("text"), "n_chars", F.col("quality").cast("int").alias("quality"))
     made = chosen.mapInArrow(each, "doc_id long, buckets binary, weights binary, statistics binary, quality int")
-    got = made.limit(2 * SAMPLE).toArrow().to_pylist()
+    got = made.toArrow().to_pylist()
     got.sort(key=lambda r: (r["doc_id"], r["buckets"], r["weights"], r["statistics"]))  # the same order whichever task came first
     rows = [(np.frombuffer(r["buckets"], "<i4"), np.frombuffer(r["weights"], "<f4"), np.frombuffer(r["statistics"], "<f4")) for r in got]
     return fit(rows, np.array([r["quality"] for r in got], np.float32))

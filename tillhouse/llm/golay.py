@@ -161,6 +161,8 @@ def links(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
     Under a key with at most ``crowd`` fingerprints all pairs are verified. In a larger crowd pairs would grow with
     its square; there every member is linked by ``crowd_links`` instead.
     """
+    shares = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fps = fps.repartition(shares, "fp")  # a number, so that they aren't put together for being small: each makes a hundred keys and more
     filed, asked = keyed(fps, False), keyed(fps, True)
     crowded = written(filed.groupBy("key").count().filter(F.col("count") > crowd).select("key"))
     some = not crowded.isEmpty()
