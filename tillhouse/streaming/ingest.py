@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from tillhouse.plans import silver
 from tillhouse.plans.lakehouse import Lakehouse
 from tillhouse.plans.providers import Provider
 from tillhouse.schemas import TABLE_KEYS
-from tillhouse.session import scratch, written
+from tillhouse.session import scratch, together, written
 from tillhouse.sources.feeds import DELIMITERS
 from tillhouse.sources.tables import load_table, upsert_table
 
@@ -112,8 +113,12 @@ def fact_upsert(
         spark, now = batch.sparkSession, clock()
         with scratch(spark):
             rows = written(batch)
-            for name, build in deltas.items():
-                lake.store(build(rows, who, lake.table("silver", name, who), None, now, lake.limits, **options), name, who)
+
+            def refresh(name: str) -> None:
+                delta = deltas[name](rows, who, lake.table("silver", name, who), None, now, lake.limits, **options)
+                lake.store(delta, name, who)
+
+            together(*[partial(refresh, name) for name in deltas])
             dims = [lake.table("silver", name, who) for name in deltas]
             lake.apply_days(who, silver.keyed_days(rows, who, *dims, lake.limits), now)
 
