@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 
 from tillhouse.operators.joins import (
     JoinLimits,
+    bucket_of,
+    by_bucket,
     lookup_join,
     measured_bytes,
     orphans,
     point_in_time_join,
+    time_cuts,
     version_stats,
     with_current,
     with_history,
@@ -217,3 +220,29 @@ def test_enrichment_never_matches_null(spark):
         assert "corp_item_gtin" not in out.columns
         assert {(r["prod_id"], r["corp_prod_name"]) for r in out.collect()} == {("a", "x"), ("b", None)}
     assert out.select(F.count("*")).first()[0] == 2
+
+
+def test_large_dimensions_are_merged_not_broadcast(spark, versions):
+    facts = spark.createDataFrame([("a", date(2024, 1, 9), 1), ("b", date(2024, 1, 6), 2)], FACTS)
+    plan = plan_of(point_in_time_join(facts, versions, "prod_id", "prod_key", limits=SHUFFLED))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_odd_dates_cost_a_bucket_at_most(spark, versions):
+    days = [date(2024, 1, 1 + n % 28) for n in range(300)] + [date(1, 1, 1), date(1900, 1, 1), date(2999, 12, 31), None]
+    facts = spark.createDataFrame([("a", day, n) for n, day in enumerate(days)], FACTS)
+    cuts = time_cuts(facts, "time_period_end_date", 8)
+    named = versions.selectExpr("prod_id AS _id", "prod_key AS _key", "valid_from AS _from", "valid_to AS _to")
+    spread = by_bucket(named, cuts)
+    assert len(cuts) <= 7 and spread.count() <= 8 * versions.count()
+    per_bucket = facts.filter("time_period_end_date IS NOT NULL").groupBy(bucket_of(F.col("time_period_end_date").cast("timestamp"), cuts).alias("b")).count().collect()
+    assert max(r["count"] for r in per_bucket) <= 80
+    small, large = (point_in_time_join(facts, versions, "prod_id", "prod_key", strict=False, limits=x) for x in (SMALL, SHUFFLED))
+    assert rows(small) == rows(large)
+
+
+def test_cuts_at_the_ends_of_versions(spark, versions):
+    facts = spark.createDataFrame([("a", date(2024, 1, d), d) for d in (9, 10, 11, 19, 20, 21)] * 40, FACTS)
+    small, large = (point_in_time_join(facts, versions, "prod_id", "prod_key", limits=x) for x in (SMALL, SHUFFLED))
+    assert rows(small) == rows(large)
+    assert time_cuts(facts.limit(0), "time_period_end_date") == []

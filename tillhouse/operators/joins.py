@@ -27,6 +27,8 @@ class JoinLimits:
 
 
 DEFAULT_LIMITS = JoinLimits()
+#: Stretches of time that a lookup in a large dimension is cut into: each holds about equally many facts.
+BUCKETS = 64
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -130,28 +132,42 @@ def point_in_time_join(
     if stats.bytes <= limits.broadcast_bytes:
         joined = facts.join(F.broadcast(versions), on, "left")
     else:
-        by_month = _by_month(versions, facts, date_column)
-        joined = facts.join(by_month, on & (F.trunc(facts[date_column], "month") == F.col("_month")), "left")
+        cuts = time_cuts(facts, date_column)
+        spread = by_bucket(versions, cuts).hint("shuffle_merge")
+        joined = facts.withColumn("_at", bucket_of(at, cuts)).join(spread, on & (F.col("_at") == F.col("_bucket")), "left")
     found = joined.withColumn(surrogate_key, F.col("_key")).select(*facts.columns, surrogate_key)
     return _checked(found, natural_key, surrogate_key, date_column) if strict else found
 
 
-def _by_month(versions: DataFrame, facts: DataFrame, date_column: str) -> DataFrame:
-    """Each version once per month it covers of those that hold facts.
+def time_cuts(facts: DataFrame, date_column: str, buckets: int = BUCKETS) -> list[int]:
+    """Instants (microseconds) that cut the facts into about equally many by time, at most ``buckets - 1``, from one pass over the column."""
+    at = F.col(date_column).cast("timestamp")
+    shares = [k / buckets for k in range(1, buckets)]
+    found = facts.agg(F.percentile_approx(F.unix_micros(at), shares, 50 * buckets).alias("cuts")).first()["cuts"]
+    return sorted(set(found or []))
 
-    With the month in the join key a fact meets the versions of one month only, however many its
-    entity has had, and the busiest entity is spread over its months. The facts' first and last month
-    come from one pass over their date column alone.
+
+def _passed(at: Column, cuts: Sequence[int], ends: bool = False) -> Column:
+    """How many cuts (microseconds) lie at or before an instant, or before it if it ``ends`` a stretch; null for a null one."""
+    micros = F.unix_micros(at)
+    return reduce(lambda n, c: n + ((micros > c) if ends else (micros >= c)).cast("int"), cuts, F.when(at.isNotNull(), F.lit(0)))
+
+
+def bucket_of(at: Column, cuts: Sequence[int]) -> Column:
+    """The bucket of an instant. A null one is in the first."""
+    return F.coalesce(_passed(at, cuts), F.lit(0))
+
+
+def by_bucket(versions: DataFrame, cuts: Sequence[int]) -> DataFrame:
+    """Each version once per bucket that it overlaps, ``_bucket``.
+
+    With the bucket in the join key a fact meets the versions of one stretch of time only, however many its
+    entity has had, and the busiest entity is spread over its buckets, which hold about equally many facts. A date
+    far from all others costs no more than a bucket.
     """
-    ends = facts.agg(F.min(date_column).alias("a"), F.max(date_column).alias("b"))
-    first, last = ends.select(F.trunc("a", "month"), F.trunc("b", "month")).first()
-    if first is None:
-        return versions.limit(0).withColumn("_month", F.current_date())
-    first, last = F.lit(first), F.lit(last)
-    start = F.greatest(F.trunc(F.col("_from"), "month"), first)
-    end = F.least(F.coalesce(F.trunc(F.col("_to"), "month"), last), last)
-    covers = versions.filter(start <= end)
-    return covers.withColumn("_month", F.explode(F.sequence(start, end, F.expr("INTERVAL 1 MONTH"))))
+    first, last = bucket_of(F.col("_from"), cuts), F.coalesce(_passed(F.col("_to"), cuts, ends=True), F.lit(len(cuts)))
+    covers = versions.withColumns({"_first": first, "_last": last}).filter("_first <= _last")
+    return covers.withColumn("_bucket", F.explode(F.sequence("_first", "_last"))).drop("_first", "_last")
 
 
 def _checked(found: DataFrame, natural_key: str, surrogate_key: str, date_column: str) -> DataFrame:

@@ -23,3 +23,11 @@ ORACLES["mask_by_tails"] = ORACLES["mask_volume_daily"]
 ORACLES["fact_stream_upsert"] = "\nUNION ALL BY NAME\n".join(
     f"SELECT '{grain}' AS grain, * FROM ({ORACLES[f'gold_{grain}_fact']})" for grain in ("day", "week", "month")
 )
+
+ORACLES["pit_join_odd_dates"] = f"""
+WITH {o.PROD_SCD}, {o.FACTS},
+f AS (SELECT * REPLACE (CASE WHEN l_orderkey % 97 = 0 THEN DATE '0001-01-01' WHEN l_orderkey % 89 = 0 THEN DATE '1900-01-01'
+                             WHEN l_orderkey % 83 = 0 THEN DATE '2999-12-31' ELSE time_period_end_date END AS time_period_end_date) FROM facts),
+v AS (SELECT prod_id, prod_key, CAST(valid_from AS TIMESTAMP) AS a, CAST(valid_to AS TIMESTAMP) AS b FROM pv3)
+SELECT f.* REPLACE (CAST(time_period_end_date AS VARCHAR) AS time_period_end_date), prod_key
+FROM f LEFT JOIN v ON v.prod_id = f.prod_id AND a <= CAST(time_period_end_date AS TIMESTAMP) AND (b IS NULL OR CAST(time_period_end_date AS TIMESTAMP) < b)"""

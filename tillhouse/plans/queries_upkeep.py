@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.operators.deltas import SIGN, changed_rows, merged_states, moved_state, period_state, stated_facts
+from tillhouse.operators.joins import point_in_time_join
 from tillhouse.operators.masking import SERIES, mask_with_tails
 from tillhouse.operators.rollup import DATE
 from tillhouse.operators.union import upserted
@@ -15,7 +16,7 @@ from tillhouse.plans import silver
 from tillhouse.plans import standins as s
 from tillhouse.plans.lakehouse import Lakehouse
 from tillhouse.plans.providers import PROVIDERS, Provider
-from tillhouse.plans.queries import _gold_fact, _rounded, query
+from tillhouse.plans.queries import SHUFFLED, _gold_fact, _rounded, query
 from tillhouse.session import together, work_dir, written
 from tillhouse.streaming import ingest
 
@@ -83,6 +84,16 @@ def _streamed(spark, sf_dir, lake: Lakehouse, who: Provider) -> None:
         ingest.stream_batches(stream, f"{root}/checkpoint", handle).awaitTermination()
 
 
+@query
+def pit_join_odd_dates(spark, sf_dir):
+    """Sales of which a few bear dates of the years 1, 1900 and 2999, looked up in a dimension too large to broadcast."""
+    odd = F.when(F.col("l_orderkey") % 97 == 0, "0001-01-01").when(F.col("l_orderkey") % 89 == 0, "1900-01-01").when(F.col("l_orderkey") % 83 == 0, "2999-12-31")
+    sales = s.facts(spark, sf_dir).withColumn(DATE, F.coalesce(odd.cast("date"), F.col(DATE)))
+    dim = s.history(spark, sf_dir, s.product_batch, s.PRODUCT_SCD)
+    found = point_in_time_join(sales, dim, "prod_id", "prod_key", strict=False, limits=SHUFFLED)
+    return found.withColumn(DATE, F.col(DATE).cast("string"))
+
+
 @query
 def fact_stream_upsert(spark, sf_dir):
     """Day, week and month facts of all providers, kept up by micro-batches of bronze files."""
