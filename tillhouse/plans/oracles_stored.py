@@ -60,11 +60,13 @@ FROM marked"""
 
 ORACLES["rejected_rows"] = """
 SELECT * FROM (
-  SELECT CASE WHEN l_suppkey % 7 = 0 THEN '2001-13-01' ELSE CAST(CAST(l_shipdate AS DATE) AS VARCHAR) END AS date,
+  SELECT CASE l_returnflag WHEN 'A' THEN 'cds_1001' WHEN 'N' THEN 'cds_1002' ELSE 'cds_1003' END AS data_provider_code,
+         CASE WHEN l_suppkey % 7 = 0 THEN '2001-13-01' ELSE CAST(CAST(l_shipdate AS DATE) AS VARCHAR) END AS date,
          CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS store_id,
-         CASE WHEN l_partkey % 10 = 0 THEN 'many' ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS sales_qty,
-         concat_ws(',', CASE WHEN l_suppkey % 7 = 0 THEN 'date' END, CASE WHEN l_partkey % 10 = 0 THEN 'sales_qty' END) AS rejected
-  FROM lineitem WHERE l_returnflag = 'A') WHERE rejected <> ''"""
+         CASE WHEN l_partkey % 10 = 0 THEN 'many' ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS amount,
+         concat_ws(',', CASE WHEN l_suppkey % 7 = 0 THEN 'date' END,
+                   CASE WHEN l_partkey % 10 = 0 THEN CASE l_returnflag WHEN 'R' THEN 'inventory_qty' ELSE 'sales_qty' END END) AS rejected
+  FROM lineitem) WHERE rejected <> ''"""
 
 ORACLES["rls_grants"] = """
 WITH items AS (
@@ -76,63 +78,67 @@ SELECT * FROM items WHERE secure_group_key = 0
 ORACLES["stored_upsert"] = f"""
 SELECT *, CAST(year(sold_on) AS INTEGER) AS sold_year FROM ({ORACLES['upsert_fact']})"""
 
-ORACLES["append_new_columns"] = """
-SELECT event_id, user_id, CASE WHEN event_id % 2 = 1 THEN event_type END AS event_type,
-       CASE WHEN event_id % 2 = 1 THEN value END AS value FROM events"""
+ORACLES["append_new_columns"] = f"""
+SELECT event_id, user_id, {', '.join(f"CASE WHEN event_id % 2 = 1 THEN {c} END AS {c}" for c in ('ts', 'event_type', 'value', 'props'))}
+FROM (SELECT {o.EVENTS_TEXT} FROM events)"""
 
 ORACLES["new_files"] = f"SELECT {o.EVENTS_TEXT}, CAST(event_id % 2 AS INTEGER) AS arrival FROM events"
 
+def _ones(p: int) -> str:
+    """One row per key of a provider's sales."""
+    return f"""raw{p} AS ({o.SALES[p]} FROM lineitem WHERE l_returnflag = '{o.FLAGS[p]}'),
+one{p} AS (SELECT * FROM (SELECT *, row_number() OVER (
+   PARTITION BY time_period_end_date, prod_id, site_id ORDER BY {o.TIES[p]}) AS r FROM raw{p}) WHERE r = 1)"""
+
+
 ORACLES["gold_with_base"] = f"""
-WITH raw AS ({o.SALES[1002]} FROM lineitem WHERE l_returnflag = 'N'),
-one AS (SELECT * FROM (SELECT *, row_number() OVER (
-   PARTITION BY time_period_end_date, prod_id, site_id ORDER BY {o.TIES[1002]}) AS r FROM raw) WHERE r = 1)
-SELECT * REPLACE (CASE WHEN time_period_end_date < DATE '1999-01-01' THEN 'stored' ELSE data_source END AS data_source)
-FROM (SELECT time_period_end_date, prod_id, site_id, {o.provenance(1002)}, {o._unrounded(o.gold_columns(1002, []))} FROM one)"""
+WITH {", ".join(_ones(p) for p in o.FLAGS)}
+SELECT * REPLACE (CASE WHEN time_period_end_date < DATE '1999-01-01' THEN 'stored' ELSE data_source END AS data_source) FROM (
+{" UNION ALL BY NAME ".join(f"SELECT time_period_end_date, prod_id, site_id, {o.provenance(p)}, {o._unrounded(o.gold_columns(p, []))} FROM one{p}" for p in o.FLAGS)})"""
 
-MONTHLY = o.SALES[1001].replace("CAST(l_shipdate AS DATE)", "CAST(date_trunc('month', l_shipdate) AS DATE)")
+AGAIN = "time_period_end_date >= DATE '1999-12-01'"
 ORACLES["refresh_twice"] = f"""
-WITH raw AS ({MONTHLY} FROM lineitem WHERE l_returnflag = 'A'),
-one AS (SELECT * FROM (SELECT *, row_number() OVER (
-   PARTITION BY time_period_end_date, prod_id, site_id ORDER BY {o.TIES[1001]}) AS r FROM raw) WHERE r = 1),
-again AS (SELECT * REPLACE (
-    CASE WHEN time_period_end_date >= DATE '1999-12-01' THEN {LATER} ELSE created_at_utc_datetime END AS created_at_utc_datetime,
-    CASE WHEN time_period_end_date >= DATE '1999-12-01' THEN DATE '2002-02-01' ELSE created_at_date END AS created_at_date)
-  FROM (SELECT *, {o.provenance(1001)} FROM one)),
-masked AS (SELECT *, {o.moving('pos_sales_value_usd', 7, False)} FROM again)
-SELECT time_period_end_date, prod_id, site_id, created_at_utc_datetime, created_at_date, data_source, data_provider_code,
-       secure_group_key, {o.gold_columns(1001, ['at_masked_pos_sales_value_usd'])} FROM masked"""
+WITH {", ".join(_ones(p) for p in o.FLAGS)}
+SELECT * REPLACE (CASE WHEN {AGAIN} THEN {LATER} ELSE created_at_utc_datetime END AS created_at_utc_datetime,
+                  CASE WHEN {AGAIN} THEN DATE '2002-02-01' ELSE created_at_date END AS created_at_date) FROM (
+{" UNION ALL BY NAME ".join(f"SELECT time_period_end_date, prod_id, site_id, {o.provenance(p)}, {o.gold_columns(p, [f'at_masked_{c}' for c in o.MASKED[p]])} FROM {o.masked_rows(p, f'one{p}', 7)}" for p in o.FLAGS)})"""
 
 
-def _prod_versions() -> str:
-    """Products of provider 1002: unchanged ones, and old and new versions of those whose master changed."""
+def _products_of(p: int, values: dict, current: str, start: str, end: str, where: str) -> str:
     d = o.DIM["prod"]
-    values = d["values"] | d["corp"]
-    renewed = values | {"corp_category": "m.category || ' new'"}
-
-    def rows(v: dict, current: str, start: str, end: str, where: str) -> str:
-        columns = ", ".join(f"{x} AS {c}" for c, x in v.items())
-        key = o.key(f"'1002' || {d['own']}", *[v[c] for c in sorted(v)])
-        return f"""SELECT '1002' || {d['own']} AS prod_id, {o.provenance(1002)}, {key} AS prod_key, {current} AS is_current,
+    tracked = [values[c] for c in sorted(values) if c != "extra_attributes"]
+    columns = ", ".join(f"{values[c]} AS {c}" if c in values else f"CAST(NULL AS {t}) AS {c}" for c, t in d["columns"].items())
+    return f"""SELECT '{p}' || {d['own']} AS prod_id, {o.provenance(p)}, {o.key(f"'{p}' || {d['own']}", *tracked)} AS prod_key, {current} AS is_current,
   {start} AS valid_from, {end} AS valid_to, {columns}
 FROM products p LEFT JOIN master m ON {d['master_on']}
-WHERE {where} AND EXISTS (SELECT 1 FROM lineitem WHERE l_returnflag = 'N' AND l_partkey = p.product_id)"""
+WHERE {where} AND EXISTS (SELECT 1 FROM lineitem WHERE l_returnflag = '{o.FLAGS[p]}' AND l_partkey = p.product_id)"""
 
-    none = "CAST(NULL AS VARCHAR)"
-    parts = [
-        rows(values, "TRUE", EPOCH, none, "m.item_gtin IS NULL"),
-        rows(values, "FALSE", EPOCH, LATER, "m.item_gtin IS NOT NULL"),
-        rows(renewed, "TRUE", LATER, none, "m.item_gtin IS NOT NULL"),
-    ]
+
+def _values_of(p: int, corp: bool) -> dict:
+    d = o.DIM["prod"]
+    if p == 1001:
+        return {d["first"]: d["values"][d["first"]]}
+    return d["values"] | (d["corp"] if corp else {}) | ({"extra_attributes": d["extra"]} if p == 1003 else {})
+
+
+def _prod_versions() -> str:
+    """Products of all providers: unchanged ones, and old and new versions of those whose master changed."""
+    none, parts = "CAST(NULL AS VARCHAR)", []
+    for p in o.FLAGS:
+        values = _values_of(p, True)
+        if p == 1001:  # sends no number by which the master could be met
+            parts.append(_products_of(p, values, "TRUE", EPOCH, none, "TRUE"))
+            continue
+        parts.append(_products_of(p, values, "TRUE", EPOCH, none, "m.item_gtin IS NULL"))
+        parts.append(_products_of(p, values, "FALSE", EPOCH, LATER, "m.item_gtin IS NOT NULL"))
+        parts.append(_products_of(p, values | {"corp_category": "m.category || ' new'"}, "TRUE", LATER, none, "m.item_gtin IS NOT NULL"))
     return f"WITH {o.PRODUCTS}, {o.PRODUCT_MASTER}\n" + "\nUNION ALL BY NAME\n".join(parts)
 
 
 ORACLES["prod_dim_second_batch"] = _prod_versions()
-
-ORACLES["dim_stream_upsert"] = f"""
-WITH {o.PRODUCTS}
-SELECT '1002' || p.product_id AS prod_id, {o.provenance(1002)}, {o.dim_key('prod', 1002, False)} AS prod_key, TRUE AS is_current,
-       {EPOCH} AS valid_from, CAST(NULL AS VARCHAR) AS valid_to, {', '.join(f'{x} AS {c}' for c, x in o.PROD_VALUES.items())}
-FROM products p WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_returnflag = 'N' AND l_partkey = p.product_id)"""
+ORACLES["dim_stream_upsert"] = f"WITH {o.PRODUCTS}, {o.PRODUCT_MASTER}\n" + "\nUNION ALL BY NAME\n".join(
+    _products_of(p, _values_of(p, False), "TRUE", EPOCH, "CAST(NULL AS VARCHAR)", "TRUE") for p in o.FLAGS
+)
 
 
 def _star(category: str, current: str, start: str, end: str, where: str) -> str:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +25,7 @@ from tillhouse.plans.lakehouse import Lakehouse
 from tillhouse.plans.providers import PROVIDERS
 from tillhouse.plans.queries import QUERIES, SHUFFLED, _product_master, _rounded, _text, query
 from tillhouse.schemas import FACT_KEYS
-from tillhouse.session import work_dir, written
+from tillhouse.session import together, work_dir, written
 from tillhouse.sources import feeds, files, master, tables
 from tillhouse.streaming import ingest
 
@@ -129,16 +131,19 @@ def gold_mask_by_age(spark, sf_dir):
 
 @query
 def rejected_rows(spark, sf_dir):
-    """Sales with quantities and dates that do not parse, and which columns those are."""
-    feed = s.feed(spark, sf_dir, 1001).withColumns(
-        {
-            "sales_qty": F.when(F.col("product_id") % 10 == 0, F.lit("many")).otherwise(F.col("sales_qty").cast("string")),
-            "date": F.when(F.col("store_id") % 7 == 0, F.lit("2001-13-01")).otherwise(F.col("date")),
-        }
-    )
-    who = PROVIDERS[1001]
-    bad = rejects(silver.bronze(feed, who, s.LOADED), who.fact)
-    return bad.select("date", "product_id", "store_id", "sales_qty", F.array_join("rejected_columns", ",").alias("rejected"))
+    """All providers' sales with quantities and dates that do not parse, and which columns those are."""
+    found = []
+    for who in PROVIDERS.values():
+        amount = "inventory_qty" if who.id == 1003 else "sales_qty"
+        feed = s.feed(spark, sf_dir, who.id).withColumns(
+            {
+                amount: F.when(F.col("product_id") % 10 == 0, F.lit("many")).otherwise(F.col(amount).cast("string")),
+                "date": F.when(F.col("store_id") % 7 == 0, F.lit("2001-13-01")).otherwise(F.col("date")),
+            }
+        )
+        bad = rejects(silver.bronze(feed, who, s.LOADED), who.fact)
+        found.append(bad.select("data_provider_code", "date", "product_id", "store_id", F.col(amount).alias("amount"), F.array_join("rejected_columns", ",").alias("rejected")))
+    return found[0].unionByName(found[1]).unionByName(found[2])
 
 
 @query
@@ -179,8 +184,8 @@ def append_new_columns(spark, sf_dir):
     """Two appends, the second with more columns."""
     events, path = s.table(spark, sf_dir, "events"), work_dir(spark)
     tables.append_table(events.filter("event_id % 2 = 0").select("event_id", "user_id"), path)
-    tables.append_table(events.filter("event_id % 2 = 1").select("event_id", "user_id", "event_type", "value"), path)
-    return tables.load_table(spark, path)
+    tables.append_table(events.filter("event_id % 2 = 1"), path)
+    return _text(tables.load_table(spark, path), "ts")
 
 
 @query
@@ -198,58 +203,66 @@ def new_files(spark, sf_dir):
 
 @query
 def gold_with_base(spark, sf_dir):
-    """Rows of one provider brought into a shared table that holds some of them already."""
-    who = PROVIDERS[1002]
-    raw = silver.bronze(s.feed(spark, sf_dir, 1002), who, s.LOADED)
-    days = with_global_ids(latest_per_key(conform(raw, "store_fact", who.fact), FACT_KEYS), "prod_id", "site_id")
-    day = F.col("time_period_end_date")
-    base = gold.gold_store_fact([days.filter(day < "2000-01-01").withColumn("data_source", F.lit("stored"))])
-    rows = gold.gold_store_fact([days.filter(day >= "1999-01-01")], base=base)
+    """Rows of all providers brought into a shared table that holds some of them already."""
+    stored, fresh, day = [], [], F.col("time_period_end_date")
+    for who in PROVIDERS.values():
+        raw = silver.bronze(s.feed(spark, sf_dir, who.id), who, s.LOADED)
+        rows = conform(raw, "store_fact", who.fact, who.fact_extras)
+        days = with_global_ids(latest_per_key(rows, FACT_KEYS), "prod_id", "site_id")
+        stored.append(days.filter(day < "2000-01-01").withColumn("data_source", F.lit("stored")))
+        fresh.append(days.filter(day >= "1999-01-01"))
+    rows = gold.gold_store_fact(fresh, base=gold.gold_store_fact(stored))
     return _text(rows, "created_at_utc_datetime").drop("prod_key", "site_key")
 
 
-def _monthly_feed(spark, sf_dir) -> DataFrame:
-    """Provider 1001 reporting once a month."""
-    month = F.date_format(F.trunc(F.to_date("date"), "month"), "yyyy-MM-dd")
-    return s.feed(spark, sf_dir, 1001).withColumn("date", month)
-
-
 @query
 def refresh_twice(spark, sf_dir):
-    """Landing to gold in two runs; the second brings later months and one month again."""
-    lake, who = Lakehouse(spark, work_dir(spark)), PROVIDERS[1001]
-    feed, landing = _monthly_feed(spark, sf_dir), work_dir(spark)
-    drops = [(feed.filter("date < '2000-01-01'"), s.LOADED), (feed.filter("date >= '1999-12-01'"), LATER)]
-    for k, (drop, at) in enumerate(drops):
-        drop.write.parquet(f"{landing}/{k}")
-        lake.run(who, f"{landing}/{k}", at)
+    """All providers from landing to gold in two runs; the second brings later days and a month of days again."""
+    providers = {who.id: replace(who, feed_format="parquet") for who in PROVIDERS.values()}
+    lake, landing = Lakehouse(spark, work_dir(spark), providers=providers, by_month=True), work_dir(spark)
+    feeds_of = {i: written(s.feed(spark, sf_dir, i)) for i in providers}
+    for k, (part, at) in enumerate((("date < '2000-01-01'", s.LOADED), ("date >= '1999-12-01'", LATER))):
+        for i, feed in feeds_of.items():
+            feed.filter(part).write.parquet(f"{landing}/{k}/{i}")
+        lake.run_all({i: f"{landing}/{k}/{i}" for i in providers}, at)
     rows = lake.table("gold", "day_fact").drop("prod_key", "site_key")
     money = [c for c, t in rows.dtypes if t == "double"]
     return _text(_rounded(rows, 4, *money), "created_at_utc_datetime")
 
 
+def _shared_products(dims) -> DataFrame:
+    return _text(gold.gold_table("prod_dim", dims), "created_at_utc_datetime", "valid_from", "valid_to")
+
+
 @query
 def prod_dim_second_batch(spark, sf_dir):
-    """A stored product dimension meets a master that has new categories."""
-    who, corp = PROVIDERS[1002], written(master.corporate(_product_master(spark, sf_dir)))
-    raw = written(silver.bronze(s.feed(spark, sf_dir, 1002), who, s.LOADED))
-    first = written(silver.prod_dim_delta(raw, who, None, corp, s.LOADED, algorithm="md5"))
+    """Stored product dimensions of all providers meet a master that has new categories."""
+    corp = written(master.corporate(_product_master(spark, sf_dir)))
     changed = corp.withColumn("corp_category", F.concat("corp_category", F.lit(" new")))
-    delta = silver.prod_dim_delta(raw, who, first, changed, LATER, algorithm="md5")
-    return _text(upserted(first, delta, ["prod_id", "prod_key"]), "created_at_utc_datetime", "valid_from", "valid_to")
+
+    def twice(who) -> DataFrame:
+        raw = written(silver.bronze(s.feed(spark, sf_dir, who.id), who, s.LOADED))
+        first = written(silver.prod_dim_delta(raw, who, None, corp, s.LOADED, algorithm="md5"))
+        delta = silver.prod_dim_delta(raw, who, first, changed, LATER, algorithm="md5")
+        return upserted(first, delta, ["prod_id", "prod_key"])
+
+    return _shared_products(together(*[partial(twice, who) for who in PROVIDERS.values()]))
 
 
 @query
 def dim_stream_upsert(spark, sf_dir):
-    """Bronze files as a stream of micro-batches that keep a product dimension up to date."""
-    who, root = PROVIDERS[1002], work_dir(spark)
-    raw = silver.bronze(s.feed(spark, sf_dir, 1002), who, s.LOADED)
-    for part in (0, 1):
-        raw.filter(F.col("store_id").cast("bigint") % 2 == part).write.mode("append").parquet(f"{root}/landing")
-    stream = ingest.stream_feed(spark, f"{root}/landing", "parquet", raw.schema, files_per_batch=8)
-    handle = ingest.dimension_upsert(who, "prod_dim", f"{root}/prod_dim", clock=lambda: s.LOADED, algorithm="md5")
-    ingest.stream_batches(stream, f"{root}/checkpoint", handle).awaitTermination()
-    return _text(tables.load_table(spark, f"{root}/prod_dim"), "created_at_utc_datetime", "valid_from", "valid_to")
+    """Bronze files of all providers as streams of micro-batches that keep their product dimensions up to date."""
+
+    def streamed(who) -> DataFrame:
+        root, raw = work_dir(spark), silver.bronze(s.feed(spark, sf_dir, who.id), who, s.LOADED)
+        for part in (0, 1):
+            raw.filter(F.col("store_id").cast("bigint") % 2 == part).write.mode("append").parquet(f"{root}/landing")
+        stream = ingest.stream_feed(spark, f"{root}/landing", "parquet", raw.schema, files_per_batch=8)
+        handle = ingest.dimension_upsert(who, "prod_dim", f"{root}/prod_dim", clock=lambda: s.LOADED, algorithm="md5")
+        ingest.stream_batches(stream, f"{root}/checkpoint", handle).awaitTermination()
+        return tables.load_table(spark, f"{root}/prod_dim")
+
+    return _shared_products(together(*[partial(streamed, who) for who in PROVIDERS.values()]))
 
 
 # Star feeds in their other forms
