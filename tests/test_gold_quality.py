@@ -172,3 +172,12 @@ def test_provider_directory():
     assert provider(5, open_entry, **mapping).secure_group_key == 0
     with pytest.raises(KeyError):
         provider(6, DIRECTORY, **mapping)
+
+
+def test_sketches_merge_to_what_the_whole_gives(spark):
+    df = spark.range(40_000).selectExpr("cast(id % 7 as string) part", "id % 9000 k", "cast(id % 3 as string) s")
+    stored = quality.partition_sketches(df.filter("id % 2 = 0"), ["part"], ["k", "s"]).unionByName(quality.partition_sketches(df.filter("id % 2 = 1"), ["part"], ["k", "s"]))
+    got = quality.merged_counts(stored, ["k", "s"]).first()
+    assert got["row_count"] == 40_000 and got["s_count"] == 3
+    assert abs(got["k_count"] - 9000) <= 4 * quality.SKETCH_ERROR * 9000
+    assert quality.merged_counts(quality.partition_sketches(df.limit(0), ["part"], ["k"]), ["k"]).first()["row_count"] is None

@@ -31,3 +31,8 @@ f AS (SELECT * REPLACE (CASE WHEN l_orderkey % 97 = 0 THEN DATE '0001-01-01' WHE
 v AS (SELECT prod_id, prod_key, CAST(valid_from AS TIMESTAMP) AS a, CAST(valid_to AS TIMESTAMP) AS b FROM pv3)
 SELECT f.* REPLACE (CAST(time_period_end_date AS VARCHAR) AS time_period_end_date), prod_key
 FROM f LEFT JOIN v ON v.prod_id = f.prod_id AND a <= CAST(time_period_end_date AS TIMESTAMP) AND (b IS NULL OR CAST(time_period_end_date AS TIMESTAMP) < b)"""
+
+ORACLES["metrics_by_sketch"] = """
+SELECT event_type, count(*) AS rows, CAST(count(*) AS BIGINT) AS row_count, count(DISTINCT user_id) AS user_id, count(DISTINCT event_id) AS event_id,
+       TRUE AS user_id_near, TRUE AS event_id_near
+FROM events WHERE event_type IS NOT NULL GROUP BY 1"""

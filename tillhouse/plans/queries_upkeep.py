@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillhouse.operators.deltas import SIGN, changed_rows, merged_states, moved_state, period_state, stated_facts
 from tillhouse.operators.joins import point_in_time_join
 from tillhouse.operators.masking import SERIES, mask_with_tails
+from tillhouse.operators.quality import SKETCH_ERROR, merged_counts, partition_sketches
 from tillhouse.operators.rollup import DATE
 from tillhouse.operators.union import upserted
 from tillhouse.plans import silver
@@ -18,6 +19,7 @@ from tillhouse.plans.lakehouse import Lakehouse
 from tillhouse.plans.providers import PROVIDERS, Provider
 from tillhouse.plans.queries import SHUFFLED, _gold_fact, _rounded, query
 from tillhouse.session import together, work_dir, written
+from tillhouse.sources import tables
 from tillhouse.streaming import ingest
 
 
@@ -105,3 +107,17 @@ def fact_stream_upsert(spark, sf_dir):
         for grain, name in grains.items()
     ]
     return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+@query
+def metrics_by_sketch(spark, sf_dir):
+    """Distinct counts of the events from sketches stored per day in two runs, beside the exact ones, per type."""
+    ids, path = ["user_id", "event_id"], work_dir(spark)
+    events = s.table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    early = F.to_date("ts") < F.lit("2024-01-15").cast("date")
+    for run in (events.filter(early), events.filter(~early)):
+        tables.append_table(partition_sketches(run, ["day", "event_type"], ids), path)
+    about = merged_counts(tables.load_table(spark, path), ids, ["event_type"])
+    exact = events.groupBy("event_type").agg(F.count(F.lit(1)).alias("rows"), *[F.countDistinct(c).alias(c) for c in ids])
+    near = [(F.abs(F.col(f"{c}_count") - F.col(c)) <= 4 * SKETCH_ERROR * F.col(c)).alias(f"{c}_near") for c in ids]
+    return exact.join(about, "event_type").select("event_type", "rows", "row_count", *ids, *near)
