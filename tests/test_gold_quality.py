@@ -181,3 +181,27 @@ def test_sketches_merge_to_what_the_whole_gives(spark):
     assert got["row_count"] == 40_000 and got["s_count"] == 3
     assert abs(got["k_count"] - 9000) <= 4 * quality.SKETCH_ERROR * 9000
     assert quality.merged_counts(quality.partition_sketches(df.limit(0), ["part"], ["k"]), ["k"]).first()["row_count"] is None
+
+
+def test_a_secured_view_shows_open_and_granted_rows(spark):
+    spark.createDataFrame([(1, 0), (2, 5), (3, 6), (4, None)], "id int, secure_group_key int").createOrReplaceTempView("test_rows")
+    me = spark.sql("SELECT session_user()").first()[0]
+    spark.createDataFrame([(me, 5), ("another", 6), (None, 6)], "user_name string, secure_group_key int").createOrReplaceTempView("test_grants")
+    gold.secured_view(spark, "test_mine", "test_rows", "test_grants")
+    assert sorted(r["id"] for r in spark.sql("SELECT id FROM test_mine").collect()) == [1, 2]
+    spark.createDataFrame([(me, 6)], "user_name string, secure_group_key int").createOrReplaceTempView("test_grants")
+    gold.secured_view(spark, "test_mine", "test_rows", "test_grants")
+    assert sorted(r["id"] for r in spark.sql("SELECT id FROM test_mine").collect()) == [1, 3]
+
+
+def test_the_dimension_function_pushes_validity_to_the_scan(spark, tmp_path):
+    old, change = datetime(1900, 1, 1), datetime(2024, 1, 10)
+    versions = [("a", 1, old, change), ("a", 2, change, None), ("b", 3, change, None)]
+    spark.createDataFrame(versions, "prod_id string, prod_key long, valid_from timestamp, valid_to timestamp").write.parquet(str(tmp_path / "dim"))
+    spark.read.parquet(str(tmp_path / "dim")).createOrReplaceTempView("test_versions")
+    gold.dimension_at(spark, "test_at", "test_versions")
+    ask = lambda at: spark.sql(f"SELECT prod_key FROM test_at(TIMESTAMP '{at}')")
+    assert sorted(r[0] for r in ask("2024-01-09 23:59:59").collect()) == [1]
+    assert sorted(r[0] for r in ask("2024-01-10").collect()) == [2, 3]
+    plan = ask("2024-01-10")._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(valid_from" in plan

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tillhouse.plans import oracles as o
+from tillhouse.plans import oracles_stored  # noqa: F401  whose SQL is used below
 from tillhouse.plans.oracles import ORACLES
 
 
@@ -36,3 +37,5 @@ ORACLES["metrics_by_sketch"] = """
 SELECT event_type, count(*) AS rows, CAST(count(*) AS BIGINT) AS row_count, count(DISTINCT user_id) AS user_id, count(DISTINCT event_id) AS event_id,
        TRUE AS user_id_near, TRUE AS event_id_near
 FROM events WHERE event_type IS NOT NULL GROUP BY 1"""
+ORACLES["rls_view"] = ORACLES["rls_grants"]
+ORACLES["dim_at_function"] = ORACLES["dim_asof"]

@@ -7,6 +7,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillhouse.operators import gold
 from tillhouse.operators.deltas import SIGN, changed_rows, merged_states, moved_state, period_state, stated_facts
 from tillhouse.operators.joins import point_in_time_join
 from tillhouse.operators.masking import SERIES, mask_with_tails
@@ -17,7 +18,7 @@ from tillhouse.plans import silver
 from tillhouse.plans import standins as s
 from tillhouse.plans.lakehouse import Lakehouse
 from tillhouse.plans.providers import PROVIDERS, Provider
-from tillhouse.plans.queries import SHUFFLED, _gold_fact, _rounded, query
+from tillhouse.plans.queries import SHUFFLED, _gold_fact, _rounded, _versions, query
 from tillhouse.session import together, work_dir, written
 from tillhouse.sources import tables
 from tillhouse.streaming import ingest
@@ -109,6 +110,28 @@ def fact_stream_upsert(spark, sf_dir):
     return found[0].unionByName(found[1]).unionByName(found[2])
 
 
+@query
+def rls_view(spark, sf_dir):
+    """What whoever runs the query may see of the sales, through a view in the catalog; half of the grants are theirs."""
+    flag = F.col("l_returnflag")
+    group = F.when(flag == "A", 110011).when(flag == "N", 0).otherwise(110013).cast("int")
+    s.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", group.alias("secure_group_key")).createOrReplaceTempView("all_sales")
+    s.table(spark, sf_dir, "nation").select(
+        F.when(F.col("n_nationkey") % 2 == 0, F.session_user()).otherwise(F.lit("another")).alias("user_name"),
+        (110011 + F.col("n_nationkey") % 4).cast("int").alias("secure_group_key"),
+    ).createOrReplaceTempView("sales_grants")
+    gold.secured_view(spark, "my_sales", "all_sales", "sales_grants")
+    return spark.table("my_sales")
+
+
+@query
+def dim_at_function(spark, sf_dir):
+    """The product versions of an instant, asked by SQL through a table function."""
+    s.history(spark, sf_dir, s.product_batch, s.PRODUCT_SCD).createOrReplaceTempView("product_versions")
+    gold.dimension_at(spark, "products_at", "product_versions")
+    return _versions(spark.sql("SELECT * FROM products_at(TIMESTAMP '2001-09-15 12:00:00')"))
+
+
 @query
 def metrics_by_sketch(spark, sf_dir):
     """Distinct counts of the events from sketches stored per day in two runs, beside the exact ones, per type."""
