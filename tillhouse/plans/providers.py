@@ -37,6 +37,7 @@ class Provider:
     date_column: str = "date"
     partitioned_by_date: bool = False
     json_lines: bool = False  # a JSON feed comes as lines, which can be split, not as one array per file
+    split_arrays: bool = False  # large JSON arrays, read by many tasks a file
 
     @property
     def code(self) -> str:
