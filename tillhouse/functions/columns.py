@@ -132,3 +132,28 @@ def fit(value: Column, actual: T.DataType | None, wanted: T.DataType) -> Column:
     if isinstance(wanted, T.StructType) and isinstance(actual, T.StructType):
         return _as_struct(value, actual, wanted)
     return value.cast(wanted)
+
+
+def attributes_variant(df: DataFrame, column: str = "extra_attributes") -> DataFrame:
+    """The attributes as VARIANT, from the struct or from JSON text: a column of one type for all providers, whose fields
+    ``attribute`` takes out typed without parsing text again. Frames without the column get a null one; fields that are
+    null stay, and a text that is no JSON fails the job."""
+    if column not in df.columns:
+        return df.withColumn(column, F.lit(None).cast("variant"))
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.StructType):
+        return df.withColumn(column, F.when(F.col(column).isNotNull(), F.to_variant_object(column)))
+    return df.withColumn(column, F.parse_json(column)) if isinstance(kind, T.StringType) else df
+
+
+def attribute(name: str, kind: str, column: str = "extra_attributes", tolerant: bool = False) -> Column:
+    """A field of the attributes as ``kind``. Absent and null fields give null; one of another kind fails the job, or gives null when ``tolerant``."""
+    if "'" in name:
+        raise ValueError(f"a path to {name!r} cannot be written")
+    path = f"$['{name}']"
+    return (F.try_variant_get if tolerant else F.variant_get)(F.col(column), path, kind)
+
+
+def attribute_kinds(df: DataFrame, column: str = "extra_attributes") -> DataFrame:
+    """One row with the fields that the attributes of all rows hold, and their types."""
+    return df.agg(F.schema_of_variant_agg(column).alias("attribute_schema"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 from functools import partial
 
@@ -21,6 +21,8 @@ from tillhouse.session import scratch, together, written
 from tillhouse.sources.feeds import DELIMITERS
 from tillhouse.sources.tables import load_table, upsert_table
 
+ARRIVED = "_arrived"
+
 
 def stream_feed(
     spark: SparkSession,
@@ -58,6 +60,17 @@ def stream_bronze(
     )
 
 
+def without_resent(rows: DataFrame, columns: Sequence[str] | None = None, within: str = "30 days") -> DataFrame:
+    """Rows that did not come before ``within`` that time: a file sent again, under its own name or another, adds nothing.
+
+    Time is that of the micro-batch, so no row is ever too late, however old its sales are; and what is remembered is
+    bounded by what arrives ``within``. Rows are told apart by ``columns``, or by all.
+    """
+    keys = list(columns or rows.columns)
+    seen = rows.withColumn(ARRIVED, F.current_timestamp()).withWatermark(ARRIVED, within)
+    return seen.dropDuplicatesWithinWatermark(keys).drop(ARRIVED)
+
+
 def append_stream(rows: DataFrame, path: str, checkpoint: str, partition_by=()) -> StreamingQuery:
     """Append everything that is there now, each file exactly once, then stop."""
     writer = rows.writeStream.format("parquet").outputMode("append").partitionBy(*partition_by)
