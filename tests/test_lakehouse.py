@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 import feed_files
 from tillhouse.operators.joins import with_history
-from tillhouse.operators.quality import gate
+from tillhouse.operators.quality import gate, rows_seen
 from tillhouse.operators.scd2 import current_versions
 from tillhouse.plans.lakehouse import LAYOUT, Lakehouse
 from tillhouse.plans.providers import INVENTORY_FEED, PROVIDERS, SALES_FEED, WIDE_SALES_FEED
 from tillhouse.schemas import FACT_KEYS
 from tillhouse.sources.feeds import read_feed, read_star_feed
+from tillhouse.sources.tables import append_table, upsert_table
 from tillhouse.streaming import ingest
 
 FIRST, SECOND = datetime(2024, 1, 21), datetime(2024, 2, 11, 6)
@@ -156,6 +157,49 @@ def test_metrics_are_kept(spark, lake):
     }
 
 
+def test_each_run_notes_the_rows_of_every_table(lake):
+    found = lake.run_metrics()
+    at = {(r["layer"], r["table_name"], r["provider"], r["recorded_at"]): r["row_count"] for r in found.collect() if r["recorded_at"] in (FIRST, SECOND)}
+    names = [who.name for who in lake.providers.values()]
+    for name in names:
+        assert at["bronze", "day_fact", name, FIRST] == CUT * ROWS_PER_DAY
+        assert at["bronze", "day_fact", name, SECOND] == (END - CUT + 1) * ROWS_PER_DAY
+        assert at["silver", "day_fact", name, FIRST] == CUT * ROWS_PER_DAY
+        assert at["silver", "prod_dim", name, FIRST] == feed_files.PRODUCTS
+    assert at["gold", "day_fact", None, FIRST] == 3 * CUT * ROWS_PER_DAY
+    assert all(n > 0 for (_, _, _, time), n in at.items() if time == FIRST)
+    for name in LAYOUT:  # the first run brings all it finds
+        assert at["gold", name, None, FIRST] == sum(at["silver", name, p, FIRST] for p in names)
+    tables = {(layer, name) for layer, name, _, _ in at}
+    assert {("gold", name) for name in LAYOUT} | {("silver", name) for name in LAYOUT} <= tables
+
+
+def test_rows_are_counted_by_the_write_itself(spark, tmp_path):
+    def jobs(group, write):
+        spark.sparkContext.setJobGroup(group, group)
+        seen = write()
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)), seen
+
+    rows = spark.range(40).select(F.col("id").alias("k"), (F.col("id") % 2).alias("part"))
+    plain = jobs("plain", lambda: rows.write.mode("append").parquet(str(tmp_path / "plain")))[0]
+    noted, seen = jobs("noted", lambda: append_table(rows, str(tmp_path / "noted")))
+    assert (noted, seen.get["row_count"]) == (plain, 40)
+    first = upsert_table(rows.filter("k < 30"), str(tmp_path / "t"), ["k"], ["part"])
+    second = upsert_table(rows.filter("k >= 25"), str(tmp_path / "t"), ["k"], ["part"])
+    nothing = upsert_table(rows.filter("k > 99"), str(tmp_path / "t"), ["k"], ["part"])
+    assert [rows_seen(s) for s in (first, second, nothing)] == [30, 15, 0]
+
+
+def test_shared_tables_are_empty_before_the_first_run(spark, tmp_path, lake):
+    house = Lakehouse(spark, str(tmp_path / "none"))
+    for name in LAYOUT:
+        assert house.shared(name).collect() == []
+        assert set(house.shared(name).columns) <= set(lake.shared(name).columns)
+    assert house.run_metrics().collect() == []
+    assert rows(lake.shared("day_fact")) == rows(lake.table("gold", "day_fact"))
+
+
 STAR = replace(
     SALES_FEED,
     id=1004,

@@ -52,11 +52,12 @@ def to_declared(df: DataFrame, columns: Columns) -> DataFrame:
     return df.select(*declared, *[c for c in df.columns if c not in columns])
 
 
-def upserted(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upserted(target: DataFrame, source: DataFrame, keys: Sequence[str], added: DataFrame | None = None) -> DataFrame:
     """Target rows whose key is not in the source, plus all source rows.
 
     The source must be unique on the keys (``dedupe.require_unique``). A null key matches a
-    null key, so that applying a source twice changes nothing.
+    null key, so that applying a source twice changes nothing. ``added`` is the source as it goes into the result, if
+    something is to watch it there.
     """
     kept = null_safe_join(target, source.select(*keys), keys, "left_anti")
-    return kept.unionByName(source, allowMissingColumns=True)
+    return kept.unionByName(source if added is None else added, allowMissingColumns=True)
