@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tillhouse.operators.joins import (
     JoinLimits,
     bucket_of,
+    buckets_for,
     by_bucket,
     lookup_join,
     measured_bytes,
@@ -246,3 +247,16 @@ def test_cuts_at_the_ends_of_versions(spark, versions):
     small, large = (point_in_time_join(facts, versions, "prod_id", "prod_key", limits=x) for x in (SMALL, SHUFFLED))
     assert rows(small) == rows(large)
     assert time_cuts(facts.limit(0), "time_period_end_date") == []
+
+
+def test_entities_of_few_versions_are_not_repeated_per_stretch_of_time(spark, versions):
+    facts = spark.createDataFrame([("a", date(2024, 1, 1 + n % 28), n) for n in range(300)], FACTS)
+    assert buckets_for(version_stats(versions, "prod_id")) == 1
+    plan = plan_of(point_in_time_join(facts, versions, "prod_id", "prod_key", limits=SHUFFLED))
+    assert "SortMergeJoin" in plan and "explode" not in plan and "_bucket" not in plan
+    start = datetime(2020, 1, 1)
+    many = spark.createDataFrame([("a", k, start + timedelta(days=k), start + timedelta(days=k + 1)) for k in range(84)], VERSIONS)
+    assert buckets_for(version_stats(many, "prod_id")) == 21  # about four versions a stretch
+    busy = many.unionByName(spark.createDataFrame([(f"e{i}", 100 + i, OLD, None) for i in range(84)], VERSIONS))
+    assert buckets_for(version_stats(busy, "prod_id")) == 10  # the busy one decides, by its share of the versions
+    assert buckets_for(version_stats(many.limit(0), "prod_id")) == 1

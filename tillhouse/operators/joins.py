@@ -27,8 +27,10 @@ class JoinLimits:
 
 
 DEFAULT_LIMITS = JoinLimits()
-#: Stretches of time that a lookup in a large dimension is cut into: each holds about equally many facts.
+#: Stretches of time that a lookup in a large dimension is cut into, at most: each holds about equally many facts.
 BUCKETS = 64
+#: Versions of an entity that a fact may be held against: time is cut no finer than leaves about so many in a stretch.
+MET = 4
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -78,16 +80,24 @@ def enrich(
 class VersionStats:
     bytes: int
     overlaps: int
+    #: Versions of the entity of a version, on average: busy entities weigh by what they have.
+    met: float = 0.0
 
 
 def version_stats(versions: DataFrame, natural_key: str) -> VersionStats:
-    """Size of a version table, and how many of its versions overlap an earlier one."""
+    """Size of a version table, how many of its versions overlap an earlier one, and how many an entity has."""
     per_key = versions.groupBy(natural_key).agg(
         F.sum(_row_bytes(versions)).alias("b"), F.count(F.lit(1)).alias("n")
     )
-    size = per_key.agg(F.sum("b").alias("b"), F.max("n").alias("n")).first()
+    n = F.col("n").cast("double")
+    size = per_key.agg(F.sum("b").alias("b"), F.max("n").alias("n"), (F.sum(n * n) / F.sum(n)).alias("met")).first()
     overlaps = overlapping_versions(versions, natural_key).count() if (size["n"] or 0) > 1 else 0
-    return VersionStats(size["b"] or 0, overlaps)
+    return VersionStats(size["b"] or 0, overlaps, size["met"] or 0.0)
+
+
+def buckets_for(stats: VersionStats) -> int:
+    """How finely to cut time. A version is repeated for each stretch it overlaps, so entities of few versions are not cut at all."""
+    return min(BUCKETS, max(1, int(stats.met / MET)))
 
 
 def overlapping_versions(versions: DataFrame, natural_key: str) -> DataFrame:
@@ -131,8 +141,10 @@ def point_in_time_join(
     on = (facts[natural_key] == F.col("_id")) & valid_on(at, "_from", "_to")
     if stats.bytes <= limits.broadcast_bytes:
         joined = facts.join(F.broadcast(versions), on, "left")
+    elif (buckets := buckets_for(stats)) == 1:
+        joined = facts.join(versions.hint("shuffle_merge"), on, "left")
     else:
-        cuts = time_cuts(facts, date_column)
+        cuts = time_cuts(facts, date_column, buckets)
         spread = by_bucket(versions, cuts).hint("shuffle_merge")
         joined = facts.withColumn("_at", bucket_of(at, cuts)).join(spread, on & (F.col("_at") == F.col("_bucket")), "left")
     found = joined.withColumn(surrogate_key, F.col("_key")).select(*facts.columns, surrogate_key)
