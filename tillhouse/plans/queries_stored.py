@@ -68,9 +68,9 @@ def pit_join_timestamp_shuffled(spark, sf_dir):
 def pit_join_many_versions(spark, sf_dir):
     """Stores with a version for every month of seven years."""
     months = F.expr("sequence(DATE '1995-01-01', DATE '2001-12-01', INTERVAL 1 MONTH)")
-    dim = s.table(spark, sf_dir, "supplier").select(
-        F.concat(F.lit("1001"), F.col("s_suppkey").cast("string")).alias("site_id"), F.explode(months).alias("month")
-    )
+    shares = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sites = s.table(spark, sf_dir, "supplier").select("s_suppkey").repartition(shares, "s_suppkey")  # each makes 84 versions
+    dim = sites.select(F.concat(F.lit("1001"), F.col("s_suppkey").cast("string")).alias("site_id"), F.explode(months).alias("month"))
     last = F.col("month") == F.lit("2001-12-01").cast("date")
     dim = dim.withColumns(
         {
@@ -79,7 +79,7 @@ def pit_join_many_versions(spark, sf_dir):
             "valid_to": F.when(~last, F.add_months("month", 1).cast("timestamp")),
         }
     )
-    return point_in_time_join(s.facts(spark, sf_dir), dim, "site_id", "site_key")
+    return point_in_time_join(s.facts(spark, sf_dir), written(dim), "site_id", "site_key")  # read by three plans
 
 
 # Awkward rows
