@@ -195,3 +195,12 @@ def test_scratch_files_are_removed(spark):
     with scratch(spark) as folder:
         assert written(spark.range(3)).count() == 3 and exists(spark, folder)
     assert not exists(spark, folder)
+
+
+@pytest.mark.parametrize("fmt", ["json", "csv", "txt"])
+def test_text_feeds_are_stored_compressed(spark, tmp_path, fmt):
+    df = spark.range(2000).selectExpr("cast(id as string) id", "repeat('the same attribute on every sale', 5) note").coalesce(1)
+    feeds.write_feed(df, str(tmp_path / fmt), fmt)
+    files = list((tmp_path / fmt).glob("part-*"))
+    assert all(f.name.endswith(".gz") for f in files) and sum(f.stat().st_size for f in files) < 2000 * 160 / 8
+    assert feeds.read_feed(spark, str(tmp_path / fmt), fmt, json_lines=True).select("id", "note").exceptAll(df).isEmpty()
