@@ -112,3 +112,10 @@ def test_chains_settle(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a long, b long")
     got = {r.node: r.root for r in smallest_reachable(edges).collect()}
     assert got == {**dict.fromkeys(range(61), 0), 100: 100, 101: 100}
+
+
+def test_nothing_that_grows_with_the_fingerprints_is_broadcast(spark):
+    docs = spark.createDataFrame([(i, f"some words of text {i // 2} and {i % 3} more") for i in range(60)], "doc_id long, text string")
+    for found in (golay.components(docs), golay.keep_one(docs)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan

@@ -15,13 +15,13 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Links every larger neighbour of a node to the node's smallest one."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("least"))
-    return both.filter("b > a").join(least, "a").select(F.col("least").alias("a"), "b").distinct()
+    return both.filter("b > a").join(least.hint("shuffle_merge"), "a").select(F.col("least").alias("a"), "b").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Links a node and its smaller neighbours to the smallest of them. Edges have ``a < b``."""
     least = edges.groupBy("b").agg(F.min("a").alias("least"))
-    moved = edges.join(least, "b").filter("a <> least").select(F.col("least").alias("a"), F.col("a").alias("b"))
+    moved = edges.join(least.hint("shuffle_merge"), "b").filter("a <> least").select(F.col("least").alias("a"), F.col("a").alias("b"))
     return moved.unionByName(least.select(F.col("least").alias("a"), "b")).distinct()
 
 

@@ -164,11 +164,11 @@ def links(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
     shares = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     fps = fps.repartition(shares, "fp")  # a number, so that they aren't put together for being small: each makes a hundred keys and more
     filed, asked = keyed(fps, False), keyed(fps, True)
-    crowded = written(filed.groupBy("key").count().filter(F.col("count") > crowd).select("key"))
+    crowded = written(filed.groupBy("key").count().filter(F.col("count") > crowd).select("key")).hint("shuffle_merge")
     some = not crowded.isEmpty()
     few = filed.join(crowded, "key", "left_anti") if some else filed
     close = (F.col("near") < F.col("fp")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("near"))) <= DISTANCE)
-    pairs = few.join(asked, "key").filter(close).select(F.col("near").alias("a"), F.col("fp").alias("b"))
+    pairs = few.join(asked.hint("shuffle_merge"), "key").filter(close).select(F.col("near").alias("a"), F.col("fp").alias("b"))
     if not some:
         return pairs
     members = filed.join(crowded, "key", "left_semi").select("fp").distinct()
@@ -201,7 +201,7 @@ def crowd_links(members: DataFrame, seekers: DataFrame) -> DataFrame:
     among the seekers.
     """
     least = _around(members, 1).groupBy("point").agg(F.min("fp").alias("least"))
-    met = _around(seekers, 2).join(least, "point").filter("fp <> least")
+    met = _around(seekers, 2).join(least.hint("shuffle_merge"), "point").filter("fp <> least")
     return met.select(F.least("fp", "least").alias("a"), F.greatest("fp", "least").alias("b"))
 
 
@@ -211,7 +211,7 @@ def _groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     nodes = marked.select("fp").distinct()
     edges = written(links(nodes).distinct())
     linked = smallest_reachable(edges).withColumnRenamed("node", "fp")
-    return marked, nodes.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+    return marked, nodes.join(linked.hint("shuffle_merge"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 
 def components(docs: DataFrame) -> DataFrame:
@@ -220,13 +220,14 @@ def components(docs: DataFrame) -> DataFrame:
     Needs ``doc_id`` and ``text``. A null text is empty; texts without words have fingerprint 0 and are linked like
     any other. Rows without an id belong to groups too, whose id is null only if all its rows' are. Repeated
     rows are returned each. An empty table gives no rows. Texts are never shuffled, and copies meet
-    as one fingerprint, so the cost of links follows the distinct fingerprints.
+    as one fingerprint, so the cost of links follows the distinct fingerprints. Tables that grow with them are merged, not
+    broadcast: nothing of them passes through the driver.
     """
     marked, groups = _groups(docs)
-    least = marked.groupBy("fp").agg(F.min("doc_id").alias("doc_id")).join(groups, "fp")
+    least = marked.groupBy("fp").agg(F.min("doc_id").alias("doc_id")).join(groups.hint("shuffle_merge"), "fp")
     heads = least.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    by_fp = groups.join(heads, "root").select("fp", "component_id")
-    return marked.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    by_fp = groups.join(heads.hint("shuffle_merge"), "root").select("fp", "component_id")
+    return marked.join(by_fp.hint("shuffle_merge"), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -237,8 +238,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """
     marked, groups = _groups(docs)
     best = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("__id"), F.col("which").alias("__which"))).alias("best")
-    by_fp = marked.groupBy("fp").agg(best).join(groups, "fp")
+    by_fp = marked.groupBy("fp").agg(best).join(groups.hint("shuffle_merge"), "fp")
     kept = by_fp.groupBy("root").agg(F.min("best").alias("best")).select("best.__id", "best.__which")
     same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__which"))
-    stay = docs.withColumn("__text_hash", F.xxhash64("text")).join(kept, same, "left_semi")
+    stay = docs.withColumn("__text_hash", F.xxhash64("text")).join(kept.hint("shuffle_merge"), same, "left_semi")
     return stay.dropDuplicates(["doc_id", "__text_hash"]).drop("__text_hash")
