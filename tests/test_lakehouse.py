@@ -12,6 +12,7 @@ import feed_files
 from tillhouse.operators.joins import with_history
 from tillhouse.operators.quality import gate, rows_seen
 from tillhouse.operators.scd2 import current_versions
+from tillhouse.plans import silver
 from tillhouse.plans.lakehouse import LAYOUT, Lakehouse
 from tillhouse.plans.providers import INVENTORY_FEED, PROVIDERS, SALES_FEED, WIDE_SALES_FEED
 from tillhouse.schemas import FACT_KEYS
@@ -330,3 +331,13 @@ def test_rows_without_a_date_reach_bronze_once(spark, tmp_path):
     assert house.ingest_new_partitions(SALES_FEED, landing, FIRST).count() == 2
     assert house.table("bronze", "day_fact", SALES_FEED).count() == 2
     assert house.ingest_new_partitions(SALES_FEED, landing, SECOND).isEmpty()
+
+
+def test_a_stream_carries_only_what_its_dimension_is_made_of(spark):
+    sales = spark.createDataFrame([("2024-01-01", 1, "soap", 5, "north", 3, 2.5), ("2024-01-02", 2, "tea", 5, "north", 1, 4.0)],
+        "date string, product_id long, product string, store_id long, store string, sales_qty long, sales_value_usd double")
+    raw = silver.bronze(sales, SALES_FEED, FIRST)
+    for table, build, used in (("prod_dim", silver.prod_dim_delta, {"product_id", "product"}), ("site_dim", silver.site_dim_delta, {"store_id", "store"})):
+        narrow = ingest.dimension_feed(raw, SALES_FEED, table)
+        assert set(narrow.columns) & set(sales.columns) == used
+        assert rows(build(narrow, SALES_FEED, None, None, FIRST)) == rows(build(raw, SALES_FEED, None, None, FIRST))

@@ -16,7 +16,7 @@ from tillhouse.operators.dedupe import INGESTED
 from tillhouse.plans import silver
 from tillhouse.plans.lakehouse import Lakehouse
 from tillhouse.plans.providers import Provider
-from tillhouse.schemas import TABLE_KEYS
+from tillhouse.schemas import PROVENANCE, TABLE_KEYS
 from tillhouse.session import scratch, together, written
 from tillhouse.sources.feeds import DELIMITERS
 from tillhouse.sources.tables import load_table, upsert_table
@@ -84,6 +84,13 @@ def stream_batches(
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def dimension_feed(rows: DataFrame, who: Provider, table: str) -> DataFrame:
+    """The bronze columns that a provider's dimension is made of. A micro-batch holds all columns of its stream, used or not."""
+    fields, extras = {"prod_dim": (who.prod, who.prod_extras), "site_dim": (who.site, who.site_extras)}[table]
+    used = {*[source for source, _ in fields.values()], *extras, *PROVENANCE}
+    return rows.select(*[c for c in rows.columns if c in used])
+
+
 def dimension_upsert(
     who: Provider,
     table: str,
