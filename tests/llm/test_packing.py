@@ -79,3 +79,21 @@ def test_repeats_null_ids_and_empty_table(docs_of):
     rows = packing.pack(docs_of(["a b", "a b", None, "c"], [1, 1, None, None])).collect()
     assert len(rows) == 4 and len({(r.sequence_id, r.offset) for r in rows}) == 4
     assert packing.pack(docs_of([])).collect() == []
+
+
+def test_plain_words_are_merged_without_the_steps_before(monkeypatch):
+    words = packing.Words(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["straße größer, élèvent! ÿ ñandú... zzqxv", "aå×b ÷ Öl ÖL naïve's don't ét café́ ŉ İ ß", "été, " * 3 + "xyzzyö" * 40, "".join(map(chr, range(1, 700)))]
+    texts += [f"w{chr(c)} {chr(c)}, {chr(c)}b" for c in range(33, 0x250)]
+    seen = []
+    slow = words.tokenizer
+
+    class Watched:
+        def encode_batch_fast(self, texts, **known):
+            seen.extend(texts)
+            return slow.encode_batch_fast(texts, **known)
+
+    monkeypatch.setattr(words, "tokenizer", Watched())
+    assert [np.frombuffer(x, "<u4").tolist() for x in words.encode([t.encode() for t in texts])] == [ids_of(t)[:-1] for t in texts]
+    assert not {"straße", "größer", "größer,", "élèvent", "zzqxv", "été", "été,"} & set(seen)
+    assert {",", "don't"} <= set(seen)
