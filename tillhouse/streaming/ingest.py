@@ -141,6 +141,6 @@ def fact_upsert(
             together(*[partial(refresh, name) for name in deltas])
             dims = [lake.table("silver", name, who) for name in deltas]
             lake.apply_days(who, silver.keyed_days(rows, who, *dims, lake.limits), now)
-        lake.record_run(now)
+        lake.record_run(now, who)
 
     return handle
