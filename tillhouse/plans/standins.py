@@ -9,12 +9,12 @@ from __future__ import annotations
 from datetime import datetime
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillhouse.operators.conform import with_global_ids
 from tillhouse.operators.dedupe import latest_per_key
-from tillhouse.operators.joins import lookup_join
+from tillhouse.operators.joins import DEFAULT_LIMITS, JoinLimits, lookup_join
 from tillhouse.operators.scd2 import version_delta
 from tillhouse.operators.union import upserted
 from tillhouse.session import prepare, together, written
@@ -31,49 +31,85 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def products(spark, sf_dir) -> DataFrame:
-    """Part as a full product dimension feed."""
+def _product_columns() -> dict[str, Column]:
+    """The columns of a product feed, from those of part; ``product_id`` is part's key."""
     size = F.col("p_size")
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_name").alias("product"),
-        F.col("p_type").alias("category"),
-        F.col("p_brand").alias("sector"),
-        F.date_format(F.date_add(F.lit("1990-01-01").cast("date"), size), "yyyy-MM-dd").alias("launch_date"),
-        F.lpad(F.col("p_partkey").cast("string"), 13, "0").alias("GTIN"),
-        F.concat_ws(" ", "p_brand", "p_name").alias("description"),
-        F.lit("Y").alias("logo_present_on_pack"),
-        F.col("p_type").alias("package_material"),
-        size.alias("shelf_life_days"),
-        F.lit(None).cast("string").alias("is_bundle"),
-        F.col("p_brand").alias("brand_marketing_tier"),
-        size.alias("num_components"),
-    )
+    return {
+        "product": F.col("p_name"),
+        "category": F.col("p_type"),
+        "sector": F.col("p_brand"),
+        "launch_date": F.date_format(F.date_add(F.lit("1990-01-01").cast("date"), size), "yyyy-MM-dd"),
+        "GTIN": F.lpad(F.col("product_id").cast("string"), 13, "0"),
+        "description": F.concat_ws(" ", "p_brand", "p_name"),
+        "logo_present_on_pack": F.lit("Y"),
+        "package_material": F.col("p_type"),
+        "shelf_life_days": size,
+        "is_bundle": F.lit(None).cast("string"),
+        "brand_marketing_tier": F.col("p_brand"),
+        "num_components": size,
+    }
 
 
-def stores(spark, sf_dir) -> DataFrame:
-    """Supplier with nation and region as a full store dimension feed."""
+def _store_columns() -> dict[str, Column]:
+    """The columns of a store feed, from those of supplier, nation and region; ``store_id`` is supplier's key."""
+    return {
+        "store": F.col("s_name"),
+        "city": F.col("n_name"),
+        "address": F.concat_ws(", ", "s_name", "n_name"),
+        "channel": F.col("r_name"),
+        "latitude": F.col("s_acctbal"),
+        "longitude": F.col("s_acctbal") / 2,
+        "global_location_number": F.lpad(F.col("store_id").cast("string"), 13, "0"),
+        "store_manager_name": F.col("s_name"),
+        "store_opening_date": F.lit(None).cast("string"),
+        "format_subtype": F.col("r_name"),
+        "store_square_footage": F.col("n_nationkey"),
+        "lease_type": F.lit("owned"),
+        "parking_spaces": F.col("n_nationkey"),
+        "micro_fulfillment_enabled": F.lit("N"),
+    }
+
+
+def _named(columns: dict[str, Column]) -> list[Column]:
+    return [column.alias(name) for name, column in columns.items()]
+
+
+def _parts(spark, sf_dir) -> DataFrame:
+    own = ["p_name", "p_type", "p_brand", "p_size"]
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("product_id"), *own)
+
+
+def _suppliers(spark, sf_dir) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier")
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     country = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
     placed = supplier.join(country, F.col("s_nationkey") == F.col("n_nationkey"), "left")
-    return placed.select(
-        F.col("s_suppkey").alias("store_id"),
-        F.col("s_name").alias("store"),
-        F.col("n_name").alias("city"),
-        F.concat_ws(", ", "s_name", "n_name").alias("address"),
-        F.col("r_name").alias("channel"),
-        F.col("s_acctbal").alias("latitude"),
-        (F.col("s_acctbal") / 2).alias("longitude"),
-        F.lpad(F.col("s_suppkey").cast("string"), 13, "0").alias("global_location_number"),
-        F.col("s_name").alias("store_manager_name"),
-        F.lit(None).cast("string").alias("store_opening_date"),
-        F.col("r_name").alias("format_subtype"),
-        F.col("n_nationkey").alias("store_square_footage"),
-        F.lit("owned").alias("lease_type"),
-        F.col("n_nationkey").alias("parking_spaces"),
-        F.lit("N").alias("micro_fulfillment_enabled"),
-    )
+    own = ["s_name", "s_acctbal", "n_nationkey", "n_name", "r_name"]
+    return placed.select(F.col("s_suppkey").alias("store_id"), *own)
+
+
+def products(spark, sf_dir) -> DataFrame:
+    """Part as a full product dimension feed."""
+    return _parts(spark, sf_dir).select("product_id", *_named(_product_columns()))
+
+
+def stores(spark, sf_dir) -> DataFrame:
+    """Supplier with nation and region as a full store dimension feed."""
+    return _suppliers(spark, sf_dir).select("store_id", *_named(_store_columns()))
+
+
+def with_full_dimensions(rows: DataFrame, spark, sf_dir, limits: JoinLimits = DEFAULT_LIMITS) -> DataFrame:
+    """Sales with all columns of their product and store, null where there is none.
+
+    Only the columns of the tables travel with a sale; the feed's columns are made of them when both lookups are done.
+    Products come first: there are more of them, so stores may still be broadcast, and the sales of a product then lie together.
+    """
+    placed = _suppliers(spark, sf_dir).withColumn("_placed", F.lit(True))
+    known = _parts(spark, sf_dir).withColumn("_known", F.lit(True))
+    found = lookup_join(lookup_join(rows, known, ["product_id"], limits=limits), placed, ["store_id"], limits=limits)
+    product = {name: F.when(F.col("_known"), column) for name, column in _product_columns().items()}
+    store = {name: F.when(F.col("_placed"), column) for name, column in _store_columns().items()}
+    return found.select(*rows.columns, *_named(product), *_named(store))
 
 
 def provider_sales(spark, sf_dir, provider_id: int) -> DataFrame:
@@ -102,7 +138,7 @@ def feed(spark, sf_dir, provider_id: int) -> DataFrame:
             *keys, F.col("qty").alias("sales_qty"), F.col("usd").alias("sales_value_usd")
         )
         named = lookup_join(rows, prod, ["product_id"])
-        return lookup_join(named, site.select("store_id", "store"), ["store_id"])
+        return lookup_join(named, site.select("store_id", "store"), ["store_id"]).select(*rows.columns, "product", "store")
     if provider_id == 1002:
         rows = sales.select(
             *keys,
@@ -127,8 +163,7 @@ def feed(spark, sf_dir, provider_id: int) -> DataFrame:
             F.col("number").alias("reserved_qty_for_online"),
             F.col("qty").alias("backroom_qty"),
         )
-    named = lookup_join(rows, products(spark, sf_dir), ["product_id"])
-    return lookup_join(named, stores(spark, sf_dir), ["store_id"])
+    return with_full_dimensions(rows, spark, sf_dir)
 
 
 def brand_days(spark, sf_dir) -> DataFrame:
