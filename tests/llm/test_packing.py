@@ -97,3 +97,15 @@ def test_plain_words_are_merged_without_the_steps_before(monkeypatch):
     assert [np.frombuffer(x, "<u4").tolist() for x in words.encode([t.encode() for t in texts])] == [ids_of(t)[:-1] for t in texts]
     assert not {"straße", "größer", "größer,", "élèvent", "zzqxv", "été", "été,"} & set(seen)
     assert {",", "don't"} <= set(seen)
+
+
+def test_a_word_with_marks_takes_its_stem_from_the_older_cache():
+    words = packing.Words(public_tokenizers.path("word_bpe_49k.json"))
+    words.encode([b"hello, W\xc3\xb6rter"])
+    words.older, words.fresh, asked, plain = words.fresh, {}, set(), words._learn_plain
+    words._learn_plain = lambda some: asked.update(some) or plain(some)
+    text = "hello! w\u00f6rter, HELLO, \u00f6l naïve;"
+    got = words.encode([text.encode()])
+    assert asked == {b"!", "\u00f6l".encode(), "naïve".encode(), b";"}
+    whole = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(got[0], "<u4").tolist() == whole

@@ -38,7 +38,7 @@ SLACK = 1 / 32
 #: Pieces that are ranked together; a class with more is ranked in several shares.
 SHARE = 2_000_000
 #: Entries of each of a worker's two caches of words.
-CACHE = 300_000
+CACHE = 400_000
 LONGEST_CACHED = 64
 #: ASCII characters that are neither letters, digits nor white space.
 _MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
@@ -91,23 +91,29 @@ class Words:
 
     def learn(self, words: set[bytes]) -> None:
         """Bring the words into the fresh cache."""
-        missing, split = set(), []
-        for word in words.difference(self.fresh):
-            if (found := self.older.get(word)) is not None:
-                self.fresh[word] = found
+        missing, split, fresh, older = set(), [], self.fresh, self.older
+        for word in words.difference(fresh):
+            if (found := older.get(word)) is not None:
+                fresh[word] = found
                 continue
             stem = word.rstrip(_MARKS)
             if stem != word and stem and b"<|" not in word and (stem[-1] in _LETTERS or _PLAIN.fullmatch(stem)):
-                split.append((word, stem, word[len(stem) :]))
-                missing.update(x for x in split[-1][1:] if x not in self.fresh)
+                marks = word[len(stem) :]
+                split.append((word, stem, marks))
+                for part in (stem, marks):
+                    if part not in fresh:
+                        if (found := older.get(part)) is not None:
+                            fresh[part] = found
+                        else:
+                            missing.add(part)
             else:
                 missing.add(word)
         order = self._learn_plain(missing)
         encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in order], add_special_tokens=False)
         for word, e in zip(order, encoded, strict=True):
-            self.fresh[word] = array("I", e.ids).tobytes()
+            fresh[word] = array("I", e.ids).tobytes()
         for word, stem, marks in split:
-            self.fresh[word] = self.fresh[stem] + self.fresh[marks]
+            fresh[word] = fresh[stem] + fresh[marks]
 
     def _learn_plain(self, words: set[bytes]) -> list[bytes]:
         """Bring the plain words into the fresh cache; returns the others."""
@@ -115,7 +121,7 @@ class Words:
             return list(words)
         plain, others = [], []
         for word in words:
-            (plain if _PLAIN.fullmatch(word) else others).append(word)
+            (plain if (word.isalpha() and word.islower()) or _PLAIN.fullmatch(word) else others).append(word)
         groups = [plain[at : at + AT_ONCE] for at in range(0, len(plain), AT_ONCE)]
         encoded = self.merges.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False)
         for group, e in zip(groups, encoded, strict=True):
