@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 from material import ODD, documents
@@ -109,3 +110,26 @@ def test_a_word_with_marks_takes_its_stem_from_the_older_cache():
     assert asked == {b"!", "\u00f6l".encode(), "naïve".encode(), b";"}
     whole = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).encode(text, add_special_tokens=False).ids
     assert np.frombuffer(got[0], "<u4").tolist() == whole
+
+
+def test_words_are_looked_up_once_and_new_ones_merged_alone(monkeypatch):
+    words = packing.Words(public_tokenizers.path("word_bpe_49k.json"))
+    monkeypatch.setattr(packing, "CACHE", 4)
+    asked, plain = [], words._learn_plain
+    words._learn_plain = lambda some: asked.append(set(some)) or plain(some)
+    texts = ["one two, two. zzqxv", "two! one, " + "y" * 80, "three zzqxv, größer. " + "y" * 80, "one größer two, <|x|>, é"]
+    for t in texts:
+        (got,) = words.encode([t.encode()])
+        assert np.frombuffer(got, "<u4").tolist() == ids_of(t)[:-1]
+    assert asked[1] == {b"!", b"y" * 80}  # known words and marks come from the older cache
+    assert asked[2] == {b"three", b"zzqxv", "größer".encode(), b".", b"y" * 80}  # two turns ago, or too long for it
+
+
+def test_a_failure_leaves_no_word_half_learned(monkeypatch):
+    words = packing.Words(public_tokenizers.path("word_bpe_49k.json"))
+    plain = words._learn_plain
+    words._learn_plain = lambda some: 1 / 0
+    with pytest.raises(ZeroDivisionError):
+        words.encode([b"one two,"])
+    words._learn_plain = plain
+    assert np.frombuffer(words.encode([b"one two,"])[0], "<u4").tolist() == ids_of("one two,")[:-1]

@@ -13,16 +13,16 @@ import re
 import zlib
 from array import array
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache, reduce
 from typing import TYPE_CHECKING
 
-import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillhouse.llm.bpe import byte_letters
 from tillhouse.llm.text import map_texts, texts_of
 from tillhouse.session import written
 
@@ -51,8 +51,15 @@ _STEPS = (
     r"""Sequence(pretokenizers=[Split(pattern=Regex("'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"), behavior=Removed, invert=True), """
     "ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=False)])",
 )
-#: Plain words that are merged in one call: few enough for the library's own lists to stay small.
-AT_ONCE = 64
+
+
+class Cache(dict):
+    """Ids of words; ``ask`` is asked for those of a word that it lacks."""
+
+    ask: Callable[[bytes], bytes | bytearray]
+
+    def __missing__(self, word: bytes) -> bytes | bytearray:
+        return self.ask(word)
 
 
 class Words:
@@ -65,22 +72,17 @@ class Words:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
-        self.merges = None
-        if suffix and (repr(self.tokenizer.normalizer), repr(self.tokenizer.pre_tokenizer)) == _STEPS:
-            self.merges = Tokenizer(self.tokenizer.model)
-            split, spell = pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-            self.merges.pre_tokenizer = pre_tokenizers.Sequence([split, spell])
-            vocabulary = self.tokenizer.get_vocab()
-            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-            self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        plain = (repr(self.tokenizer.normalizer), repr(self.tokenizer.pre_tokenizer)) == _STEPS
+        self.model = self.tokenizer.model if plain else None
+        self.letters = {byte: letter for letter, byte in byte_letters().items()}
         self.fresh: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
+        self.long: list[bytes] = []  # words of the fresh cache that the older one is not to have
 
     def split(self, raw: bytes) -> list[bytes]:
         # Lower case is the tokenizer's own first step. It is taken ahead only where the order of steps cannot
@@ -89,49 +91,59 @@ class Words:
             raw = raw.lower()
         return raw.split()
 
-    def learn(self, words: set[bytes]) -> None:
-        """Bring the words into the fresh cache."""
-        missing, split, fresh, older = set(), [], self.fresh, self.older
-        for word in words.difference(fresh):
-            if (found := older.get(word)) is not None:
+    def _rows(self, cut: list[list[bytes]]) -> list[list[bytes | bytearray]]:
+        """The ids of each word. New words are first given an empty array each, and all of them learned at once in the end."""
+        fresh = self.fresh = self.fresh if isinstance(self.fresh, Cache) else Cache(self.fresh)
+        older, new, split = self.older, {}, []
+
+        def ask(word: bytes) -> bytes | bytearray:
+            if len(word) > LONGEST_CACHED:
+                self.long.append(word)
+            if older and (found := older.get(word)) is not None:
                 fresh[word] = found
-                continue
-            stem = word.rstrip(_MARKS)
-            if stem != word and stem and b"<|" not in word and (stem[-1] in _LETTERS or _PLAIN.fullmatch(stem)):
-                marks = word[len(stem) :]
-                split.append((word, stem, marks))
-                for part in (stem, marks):
-                    if part not in fresh:
-                        if (found := older.get(part)) is not None:
-                            fresh[part] = found
-                        else:
-                            missing.add(part)
-            else:
-                missing.add(word)
-        order = self._learn_plain(missing)
+                return found
+            if not word.isalpha():
+                stem = word.rstrip(_MARKS)
+                if stem != word and stem and b"<|" not in word and (stem[-1] in _LETTERS or _PLAIN.fullmatch(stem)):
+                    parts = fresh[stem], fresh[word[len(stem) :]]
+                    if type(parts[0]) is bytes is type(parts[1]):
+                        fresh[word] = found = parts[0] + parts[1]
+                        return found
+                    fresh[word] = ids = bytearray()
+                    split.append((word, ids, parts))
+                    return ids
+            fresh[word] = new[word] = ids = bytearray()
+            return ids
+
+        fresh.ask = ask
+        rows = [list(map(fresh.__getitem__, words)) for words in cut]
+        order = self._learn_plain(set(new))
         encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in order], add_special_tokens=False)
         for word, e in zip(order, encoded, strict=True):
             fresh[word] = array("I", e.ids).tobytes()
-        for word, stem, marks in split:
-            fresh[word] = fresh[stem] + fresh[marks]
+        for word, ids in new.items():
+            ids += fresh[word]
+        for word, ids, (stem, marks) in split:
+            ids += stem
+            ids += marks
+            fresh[word] = bytes(ids)
+        del fresh.ask  # it holds the older cache
+        return rows
 
     def _learn_plain(self, words: set[bytes]) -> list[bytes]:
         """Bring the plain words into the fresh cache; returns the others."""
-        if self.merges is None:
+        if self.model is None:
             return list(words)
-        plain, others = [], []
+        others, tokenize = [], self.model.tokenize
         for word in words:
-            (plain if (word.isalpha() and word.islower()) or _PLAIN.fullmatch(word) else others).append(word)
-        groups = [plain[at : at + AT_ONCE] for at in range(0, len(plain), AT_ONCE)]
-        encoded = self.merges.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False)
-        for group, e in zip(groups, encoded, strict=True):
-            ids = np.array(e.ids, "<u4")
-            raw, ends = ids.tobytes(), (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
-            if len(ends) != len(group):  # a vocabulary that lacks a letter at the end of a word
-                others += group
+            if word.isalpha() and word.islower():
+                spelt = word.decode()
+            elif _PLAIN.fullmatch(word):
+                spelt = word.decode("latin-1").translate(self.letters)
+            else:
+                others.append(word)
                 continue
-            for word, start, end in zip(group, [0, *ends], ends):
-                self.fresh[word] = raw[start:end]
+            self.fresh[word] = array("I", [token.id for token in tokenize(spelt)]).tobytes()
         return others
 
     def forget(self) -> None:
@@ -141,11 +153,14 @@ class Words:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
         if len(self.fresh) >= CACHE:
-            self.older = {w: ids for w, ids in self.fresh.items() if len(w) <= LONGEST_CACHED}
-            self.fresh = {}
-        cut = [self.split(x) for x in texts]
-        self.learn(set().union(*cut))
-        return [b"".join(map(self.fresh.__getitem__, words)) for words in cut]
+            for word in self.long:
+                self.fresh.pop(word, None)
+            self.older, self.fresh, self.long = self.fresh, {}, []
+        try:
+            return [b"".join(row) for row in self._rows([self.split(x) for x in texts])]
+        except BaseException:
+            self.fresh, self.long = {}, []  # it may hold words whose ids are still to come
+            raise
 
 
 @lru_cache(maxsize=2)
