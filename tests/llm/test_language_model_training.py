@@ -37,3 +37,14 @@ def test_tasks_beat_the_start_on_other_documents(spark, sf):
     averaged = lm.Network(lm.train_round(docs, known, start.p, 0, known.total / 4)[0], start.bounds, start.class_of)
     assert lm.score_documents(averaged, ids).sum() > lm.score_documents(start, ids).sum()
     assert lm.score_documents(network, ids).sum() > lm.score_documents(lm.Network.new(known), ids).sum() + 0.1 * sum(map(len, ids))
+
+
+@pytest.mark.parametrize("enough", [0, 1 << 20])
+def test_a_corpus_of_any_size_is_gone_over_again_as_a_whole(docs_of, monkeypatch, enough):
+    learned, plain = [], lm.train_marked
+    monkeypatch.setattr(lm, "ENOUGH", enough)
+    monkeypatch.setattr(lm, "train_marked", lambda *rest: learned.append(plain(*rest)) or learned[-1])
+    docs = docs_of([f"a{i % 7} b c{i % 3}" for i in range(300)] + [None])
+    known, _ = lm.learn(docs, lm.count_words(docs))
+    first, second, *again = [tokens for _, tokens in learned]
+    assert first + second == known.total and again and set(again) == {known.total}
